@@ -52,9 +52,10 @@ def _per_batch(spark, folder):
 
 
 def _running(spark, folder):
-    table_ = word_counts.count_running(lines(_stream(spark, folder, "documents")).select("value"),
-                                       new_folder(spark, "totals"), new_folder(spark, "checkpoint"))
-    return table_.read(spark)
+    path = new_folder(spark, "totals")
+    word_counts.count_running(lines(_stream(spark, folder, "documents")).select("value"), path,
+                              new_folder(spark, "checkpoint"))
+    return word_counts.read_running(spark, path)
 
 
 def _running_complete(spark, folder):

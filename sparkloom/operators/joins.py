@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 SPREAD = "_spread"
 HOT_KEYS = 100
-SALTS = 32
 
 
 def plan_bytes(frame: DataFrame) -> int:
@@ -59,14 +58,19 @@ def _holds_map(data_type: T.DataType) -> bool:
 
 
 def spread_sides(facts: DataFrame, lookup: DataFrame, fact_keys: list[str], lookup_keys: list[str],
-                 key_source: DataFrame | None = None, salts: int = SALTS) -> tuple[DataFrame, DataFrame]:
+                 key_source: DataFrame | None = None, salts: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Add a `_spread` column to both sides, to be joined on together with the keys.
 
-    Fact rows of a heavy key are scattered by a hash of the row, and lookup rows of that key are repeated
-    once per slot; other rows use slot 0. Null keys match nothing and are scattered too. The broadcast
-    key list has at most HOT_KEYS rows. It is counted on `key_source`, by default the facts; name the
-    table the facts derive from when computing them twice would be dear.
+    Fact rows of a heavy key are scattered by a hash of the row over as many slots as there are shuffle
+    partitions, and lookup rows of that key are repeated once per slot; other rows use slot 0. Null keys
+    match nothing and are scattered too. Lookup keys should be unique, so that at most HOT_KEYS lookup
+    rows are repeated. Fact rows alike in every column share a slot; adaptive skew handling, which cuts
+    by size and not by value, splits those.
+
+    The broadcast key list has at most HOT_KEYS rows. It is counted on `key_source`, by default the
+    facts; name the table the facts derive from when computing them twice would be dear.
     """
+    salts = salts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = heaviest_keys(facts if key_source is None else key_source, fact_keys)
     hot_names = [f"_hot_{i}" for i in range(len(fact_keys))]
     hot = F.broadcast(hot.toDF(*hot_names).withColumn("_is_hot", F.lit(True)))
@@ -97,6 +101,8 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: str | list[str], how:
         raise ValueError(f"unsupported join kind {how!r}")
     if fits_broadcast(lookup, limit_bytes):
         return facts.join(lookup, keys, how)
+    if how in ("left_semi", "left_anti"):
+        lookup = lookup.select(*keys).distinct()
     facts, lookup = spread_sides(facts, lookup, keys, keys, key_source)
     return facts.join(lookup, [*keys, SPREAD], how).drop(SPREAD)
 

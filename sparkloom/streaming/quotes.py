@@ -28,14 +28,16 @@ def add_quotes(new: DataFrame, path: str) -> None:
     splits the write of a symbol that would make an oversized task.
     """
     spark = new.sparkSession
-    fresh = new.distinct()
-    existing = read_quotes(spark, path)
-    symbols = [row.symbol for row in fresh.select("symbol").distinct().take(PRUNED_SYMBOLS + 1)]
-    if len(symbols) <= PRUNED_SYMBOLS:
-        existing = existing.where(F.col("symbol").isin(symbols) | F.col("symbol").isNull())
-    columns = existing.columns
-    (fresh.select(columns).subtract(existing).hint("rebalance", "symbol")
-     .write.mode("append").partitionBy("symbol").parquet(path))
+    fresh = new.distinct().persist()
+    try:
+        existing = read_quotes(spark, path)
+        symbols = [row.symbol for row in fresh.select("symbol").distinct().take(PRUNED_SYMBOLS + 1)]
+        if len(symbols) <= PRUNED_SYMBOLS:
+            existing = existing.where(F.col("symbol").isin(symbols) | F.col("symbol").isNull())
+        (fresh.select(existing.columns).subtract(existing).hint("rebalance", "symbol")
+         .write.mode("append").partitionBy("symbol").parquet(path))
+    finally:
+        fresh.unpersist()
 
 
 def stream_quotes(quotes: DataFrame, path: str, checkpoint: str, **timing) -> None:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators.joins import lookup_join
 from sparkloom.plans.text import part_count
-from sparkloom.streaming.keyed import KeyedTable
 from sparkloom.streaming.runner import for_each_batch
 
 
@@ -23,11 +22,17 @@ def read_per_batch(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(F.col("batch_id").cast("bigint"), "word", "count")
 
 
-def count_running(lines: DataFrame, path: str, checkpoint: str, **timing) -> KeyedTable:
+def count_running(lines: DataFrame, path: str, checkpoint: str, **timing) -> None:
     """Totals over the whole stream, where each batch emits only the words whose total changed."""
-    table = KeyedTable(path, "word", ("count",))
-    for_each_batch(part_count(lines), table.put, checkpoint, "update", **timing)
-    return table
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    for_each_batch(part_count(lines), store, checkpoint, "update", **timing)
+
+
+def read_running(spark: SparkSession, path: str) -> DataFrame:
+    """Latest total per word: totals only grow, so it is the largest one stored."""
+    return spark.read.parquet(path).groupBy("word").agg(F.max("count").alias("count"))
 
 
 def count_running_complete(lines: DataFrame, path: str, checkpoint: str, **timing) -> None:

@@ -25,8 +25,8 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """Path of a fresh, not yet existing folder below the shared root."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """Path of a fresh, not yet existing folder below the shared root, grouped by application."""
+    return f"{shared_root(spark)}/sparkloom-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def written(frame: DataFrame, label: str) -> DataFrame:
