@@ -40,8 +40,8 @@ def heaviest_keys(facts: DataFrame, keys: list[str], count: int = HOT_KEYS) -> D
     picks the same keys.
     """
     present = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    return (facts.select(*keys).where(present).groupBy(*keys).agg(F.count("*").alias("_n"))
-            .orderBy(F.desc("_n"), *keys).limit(count).select(*keys))
+    return (facts.select(*keys).where(present).groupBy(*keys).agg(F.count("*").alias("_uses"))
+            .orderBy(F.desc("_uses"), *keys).limit(count).select(*keys))
 
 
 def _row_salt(frame: DataFrame, salts: int) -> Column:

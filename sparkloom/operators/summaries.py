@@ -96,10 +96,10 @@ def modal_values(frame: DataFrame, key: str, value: str) -> DataFrame:
 def null_safe_summary(frame: DataFrame, group: str, value: str, order: str) -> DataFrame:
     """Sum, mean, count, extremes and first/last value by `order`, each skipping null values.
 
-    Ties in `order` are broken by the value so that first and last are repeatable.
+    `order` should be unique within a group; among equal ones the choice of first and last is open.
     """
-    rank = F.when(F.col(value).isNotNull(), F.struct(order, value))
+    rank = F.when(F.col(value).isNotNull(), F.col(order))
     return frame.groupBy(group).agg(
         F.sum(value).alias("sum"), F.avg(value).alias("avg"), F.count(value).alias("count"),
         F.min(value).alias("min"), F.max(value).alias("max"),
-        F.min(rank)[value].alias("first"), F.max(rank)[value].alias("last"))
+        F.min_by(value, rank).alias("first"), F.max_by(value, rank).alias("last"))

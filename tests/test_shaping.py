@@ -85,3 +85,13 @@ def test_null_safe_summary(spark):
                                   "g string, t int, v int")
     got = {r.g: tuple(r)[1:] for r in summaries.null_safe_summary(frame, "g", "v", "t").collect()}
     assert got == {"a": (12, 6.0, 2, 5, 7, 5, 7), "b": (None, None, 0, None, None, None, None)}
+
+
+def test_mode_without_broadcast(spark):
+    values = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 3), ("b", 4)], "k string, v int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert bag(summaries.modal_values(values, "k", "v")) == {("a", 1): 1, ("b", 3): 1, ("b", 4): 1}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
