@@ -117,13 +117,9 @@ def _scaled_text(spark, folder):
 
 
 def _null_safe_aggregates(spark, folder):
-    value = F.when(F.col("event_type") != "error", F.col("value").cast("decimal(12,2)"))
-    events = table(spark, folder, "events").select(
-        "user_id", "event_id", value.alias("value"))
-    summary = summaries.null_safe_summary(events, "user_id", "value", "event_id")
-    return summary.select("user_id", F.col("count"),
-                          *[F.col(c).cast("double").alias(c) for c in ("sum", "min", "max", "first", "last")],
-                          F.round(F.col("avg").cast("double"), 4).alias("avg"))
+    cents = F.when(F.col("event_type") != "error", F.round(F.col("value") * 100).cast("bigint"))
+    events = table(spark, folder, "events").select("user_id", "event_id", cents.alias("cents"))
+    return summaries.null_safe_summary(events, "user_id", "cents", "event_id")
 
 
 def _map_pairs(spark, folder):
@@ -206,12 +202,11 @@ ORACLES = {
     "scaled_text": """SELECT event_id, CASE WHEN event_type <> 'error' THEN printf('%.1f', value) ELSE '' END AS one,
         CASE WHEN event_type <> 'error' THEN printf('%.3f', value) ELSE '' END AS three FROM events""",
     "null_safe_aggregates": """WITH e AS (SELECT user_id, event_id,
-            CASE WHEN event_type <> 'error' THEN cast(value AS decimal(12,2)) END AS value FROM events)
-        SELECT user_id, count(value) AS "count", cast(sum(value) AS double) AS "sum",
-            cast(min(value) AS double) AS "min", cast(max(value) AS double) AS "max",
-            cast(arg_min(value, event_id) FILTER (WHERE value IS NOT NULL) AS double) AS "first",
-            cast(arg_max(value, event_id) FILTER (WHERE value IS NOT NULL) AS double) AS "last",
-            round(cast(sum(value) AS double) / count(value), 4) AS "avg"
+            CASE WHEN event_type <> 'error' THEN cast(round(value * 100) AS bigint) END AS cents FROM events)
+        SELECT user_id, cast(sum(cents) AS bigint) AS "sum", avg(cents) AS "avg", count(cents) AS "count",
+            min(cents) AS "min", max(cents) AS "max",
+            arg_min(cents, event_id) FILTER (WHERE cents IS NOT NULL) AS "first",
+            arg_max(cents, event_id) FILTER (WHERE cents IS NOT NULL) AS "last"
         FROM e GROUP BY user_id""",
     "map_pairs": """SELECT c_custkey, 'c_mktsegment=' || c_mktsegment || ';c_name=' || c_name
         || ';c_nationkey=' || cast(c_nationkey AS varchar) AS pairs, c_name AS name,

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from sparkloom.operators.joins import lookup_join
 from sparkloom.workspace import written
 
+SKETCHES = 4_000
+
 
 def _is_number(frame: DataFrame, name: str) -> bool:
     return isinstance(frame.schema[name].dataType, T.NumericType)
@@ -57,8 +59,9 @@ def profile_quantiles(frame: DataFrame, columns: list[str] | None = None,
                       fractions: tuple[float, ...] = (0.25, 0.5, 0.75), accuracy: int = 10_000) -> DataFrame:
     """Minimum, chosen quantiles and maximum of every number column in one pass.
 
-    Quantiles are mergeable sketches whose rank error is at most rows / accuracy, so memory per task is
-    fixed. Columns are named after the percentage, such as `p25`.
+    Quantiles are mergeable sketches whose rank error is at most rows / accuracy: exact up to `accuracy`
+    rows, and of fixed size beyond. At most SKETCHES of them are merged, however many files are read.
+    Columns are named after the percentage, such as `p25`.
     """
     names = [n for n in (columns or frame.columns) if _is_number(frame, n)]
     labels = [f"p{fraction * 100:g}".replace(".", "_") for fraction in fractions]
@@ -68,7 +71,7 @@ def profile_quantiles(frame: DataFrame, columns: list[str] | None = None,
         sketch = F.percentile_approx(value, list(fractions), accuracy)
         return F.struct(F.min(value).alias("min"), sketch.alias("q"), F.max(value).alias("max"))
 
-    wide = frame.agg(*[statistics(name).alias(f"s{i}") for i, name in enumerate(names)])
+    wide = frame.coalesce(SKETCHES).agg(*[statistics(name).alias(f"s{i}") for i, name in enumerate(names)])
     rows = F.array(*[F.struct(F.lit(name).alias("column"), F.col(f"s{i}.min").alias("min"),
                               *[F.get(f"s{i}.q", F.lit(j)).alias(label) for j, label in enumerate(labels)],
                               F.col(f"s{i}.max").alias("max"))

@@ -13,8 +13,12 @@ VOWELS = ["a", "e", "i", "o", "u"]
 
 
 def lines(documents: DataFrame, column: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Documents as a line table, with `line_no` from 0 and the kept columns."""
-    return documents.select(*keep, F.posexplode(F.split(column, "\r\n|\n|\r")).alias("line_no", "value"))
+    """Documents as a line table, with `line_no` from 0 and the kept columns.
+
+    Line ends are made alike first, which leaves a plain one-character split.
+    """
+    unix = F.replace(F.replace(column, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return documents.select(*keep, F.posexplode(F.split(unix, "\n")).alias("line_no", "value"))
 
 
 def tokens(text: str | Column) -> Column:
@@ -33,7 +37,7 @@ def cleaned_words(text: str | Column) -> Column:
 
 def initials(text: str | Column) -> Column:
     """Array of the first character of every non-empty part, as written."""
-    return F.regexp_extract_all(text, F.lit(r"(?<![^ \r\n])[^ \r\n]"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(r"([^ \r\n])[^ \r\n]*+"), F.lit(1))
 
 
 def words(texts: DataFrame, column: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -18,6 +18,8 @@ def test_safe_convert(spark):
                                   "n string, d string")
     got = rows(frame.select(scalars.safe_convert("n", "bigint"), scalars.safe_convert("d", T.DateType())))
     assert got == [(12, datetime.date(2024, 2, 29)), (None, None), (None, None), (None, None)]
+    dates = spark.createDataFrame([("2024-1-2",), ("2024",), ("2024-01-02T00:00",), ("0000-01-01",), ("2024-13-45",)], "d string")
+    assert rows(dates.select(scalars.safe_convert("d", "date"))) == [(datetime.date(2024, 1, 2),)] + [(None,)] * 4
     other = frame.select(scalars.safe_convert("d", "date", "dd/MM/yyyy"))
     assert rows(other)[2] == (datetime.date(2024, 2, 29),)
 
