@@ -31,28 +31,35 @@ def primary_identifiers(identifiers: DataFrame) -> DataFrame:
 
 def full_log(facts: DataFrame, identifiers: DataFrame, classes: DataFrame, categories: DataFrame | None = None,
              channels: DataFrame | None = None, limit_bytes: int | None = None) -> DataFrame:
-    """Facts of primary services with channel (inner), category and class (left) descriptions.
+    """Durations of primary services with their channel (inner), class and category (left) descriptions.
 
-    When every descriptive table can be broadcast, the facts stream through the joins in one stage, the
-    filtering ones first. Otherwise durations are summed over the join keys beforehand: they only ever
-    enter sums, so no result changes, and a key combination with a third of all facts becomes one row
-    before anything is shuffled for a join.
+    Facts stream through the joins with descriptive tables that can be broadcast, filtering ones first.
+    If a larger table remains, durations are summed per combination of what is known so far before the
+    facts are shuffled for it. Durations only ever enter sums, so no result changes, and a combination
+    with a third of all facts becomes one row.
     """
     primary = primary_identifiers(identifiers)
-    lookups = [x for x in (primary, classes, categories, channels) if x is not None]
-    keys = ["service_id", "class_id"] + (["category_id"] if categories is not None else [])
-    base = facts.select(*keys, "duration")
-    if not all(fits_broadcast(lookup, limit_bytes) for lookup in lookups):
-        base = written(base.groupBy(*keys).agg(F.sum("duration").alias("duration")), "log-sums")
-        if channels is not None:
-            primary = written(lookup_join(primary, channels, "channel_id", "inner", limit_bytes), "services")
-            channels = None
-    log = lookup_join(base, primary, "service_id", "inner", limit_bytes)
-    if channels is not None:
-        log = lookup_join(log, channels, "channel_id", "inner", limit_bytes)
-    if categories is not None:
-        log = lookup_join(log, categories, "category_id", "left", limit_bytes, base)
-    return lookup_join(log, classes, "class_id", "left", limit_bytes, base)
+    if channels is not None and not fits_broadcast(primary, limit_bytes):
+        primary = written(lookup_join(primary, channels, "channel_id", "inner", limit_bytes), "services")
+        channels = None
+    steps = [(primary, "service_id", "inner"), (channels, "channel_id", "inner"),
+             (classes, "class_id", "left"), (categories, "category_id", "left")]
+    steps = [step for step in steps if step[0] is not None]
+    keys = [key for _, key, _ in steps if key != "channel_id"]
+    small = [step for step in steps if fits_broadcast(step[0], limit_bytes)]
+    large = [step for step in steps if step not in small]
+
+    log = facts.select(*keys, "duration")
+    for lookup, key, how in small:
+        log = lookup_join(log, lookup, key, how, limit_bytes)
+    if large:
+        used = [key for _, key, _ in small if key in keys]
+        known = [name for name in log.columns if name not in ("duration", *used)]
+        sums = written(log.groupBy(*known).agg(F.sum("duration").alias("duration")), "log-sums")
+        log = sums
+        for lookup, key, how in large:
+            log = lookup_join(log, lookup, key, how, limit_bytes, sums)
+    return log.drop(*keys)
 
 
 def duration_by(log: DataFrame, *keys: str) -> DataFrame:

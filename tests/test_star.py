@@ -72,3 +72,14 @@ def test_unknown_category_is_kept(parts, limit):
 def test_small_tables_are_broadcast(parts):
     shown = plan(star.duration_by_class(log(parts)))
     assert shown.count("BroadcastHashJoin") >= 2 and "CartesianProduct" not in shown
+
+
+def test_mix_of_small_and_large_tables(parts, monkeypatch):
+    """Only the categories count as large: the other joins come first, then sums, then the large join."""
+    plain = bag(star.duration_by(log(parts, categories=True, channels=True), "class_code", "channel_name", "category_name"))
+    categories = parts[3]
+    fits = lambda frame, limit=None: frame is not categories
+    monkeypatch.setattr(star, "fits_broadcast", fits)
+    monkeypatch.setattr("sparkloom.operators.joins.fits_broadcast", fits)
+    mixed = star.duration_by(log(parts, categories=True, channels=True), "class_code", "channel_name", "category_name")
+    assert bag(mixed) == plain and "_spread" in plan(mixed)
