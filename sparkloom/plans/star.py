@@ -23,6 +23,7 @@ COMMERCIAL_CODES = ["COM", "PRC", "PGI", "PRO", "PSA", "MAG", "LOC", "SPO", "MER
 # The code that counts only in part, and its weight.
 PARTIAL_CODES = ["PRC"]
 PARTIAL_WEIGHT = 0.75
+FULL_WEIGHT_CODES = [code for code in COMMERCIAL_CODES if code not in PARTIAL_CODES]
 
 
 def primary_identifiers(identifiers: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.operators.joins import lookup_join
 from sparkloom.plans.text import part_count
 from sparkloom.streaming.runner import for_each_batch
 
@@ -44,6 +43,7 @@ def count_running_complete(lines: DataFrame, path: str, checkpoint: str, **timin
 
 
 def read_last_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The newest snapshot; its number is looked up first so that only its files are read."""
     snapshots = spark.read.parquet(path)
-    last = snapshots.agg(F.max("snapshot").alias("snapshot"))
-    return lookup_join(snapshots, last, "snapshot", "left_semi").drop("snapshot")
+    last = snapshots.agg(F.max("snapshot")).first()[0]
+    return snapshots.where(F.col("snapshot") == last).drop("snapshot")

@@ -57,6 +57,13 @@ def test_overlapping_lists_are_refused():
         star.commercial_duration(star.COMMERCIAL_CODES, star.PARTIAL_CODES)
 
 
+def test_listed_codes(parts):
+    whole = bag(star.channel_ratio(log(parts, channels=True)))
+    assert whole[(7, "seven", 90, 137, 90 / 137)] == 1
+    weighted = bag(star.channel_ratio(log(parts, channels=True), star.FULL_WEIGHT_CODES, star.PARTIAL_CODES))
+    assert weighted[(7, "seven", 82.5, 137, 82.5 / 137)] == 1
+
+
 @pytest.mark.parametrize("limit", [None, 0])
 def test_histogram_counts_unknown_ratio_as_zero(parts, limit):
     shares = star.commercial_share(log(parts, channels=True, limit=limit), ["channel_id", "channel_name"], ["COM"])

@@ -1,3 +1,7 @@
+import random
+import re
+from collections import Counter
+
 from sparkloom.plans import text
 from tests.helpers import bag, plan, rows
 
@@ -52,3 +56,21 @@ def test_null_text(spark):
 def test_plan_is_one_shuffle_without_python(spark):
     shown = plan(text.word_count_by(spark.createDataFrame([("a", "b")], "lang string, text string"), "lang"))
     assert "Python" not in shown and "partial_count" in shown
+
+
+def test_against_brute_force(spark):
+    """Random documents of letters, marks, accents and every kind of line end."""
+    random.seed(7)
+    alphabet = "abzAZ é'1-\t\n\r  ßŒ\u2028"
+    documents = ["".join(random.choice(alphabet) for _ in range(random.randint(0, 120))) for _ in range(300)]
+    documents += ["\r\n".join(documents[:20]), ""]
+    frame_ = spark.createDataFrame([(d,) for d in documents], "text string")
+    lines = [line for d in documents for line in re.split("\r\n|\n|\r", d)]
+    parts = [part for line in lines for part in line.split(" ")]
+    cleaned = [re.match("[a-z]*", part.lower()).group() for part in parts]
+    first = [part[:1].lower() for part in parts]
+    assert bag(text.words(frame_)) == Counter((w,) for w in cleaned if w)
+    assert bag(text.initial_counts(frame_)) == Counter(
+        Counter(c for c in first if re.search("[a-z]", c)).items())
+    assert Counter(r.value for r in text.lines(frame_).collect()) == Counter(lines)
+    assert bag(text.part_count(text.lines(frame_))) == Counter(Counter(parts).items())
