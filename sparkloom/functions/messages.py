@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,14 +37,23 @@ def envelope_schema(row_schema: T.StructType) -> T.StructType:
     ])
 
 
+# Inferred type names, where a type may stand, and the column type each becomes.
+_TYPE_PLACE = r"(^|: |ARRAY<)"
+_COLUMN_TYPES = [(r"OBJECT<", "STRUCT<"), (r"(?:VARIANT|VOID)(?=[,>]|$)", "STRING"), (r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE")]
+
+
 def json_schema_ddl(strings: DataFrame, column: str) -> str:
-    """Infer one DDL schema from a column of JSON strings.
+    """Infer one DDL schema from a column of JSON objects held as strings.
 
     The merge runs as a distributed aggregate; only the resulting type text reaches the driver. Arrays
-    that mix types are widened to strings.
+    that mix types are widened to strings, and fractions are doubles.
     """
     merged = strings.select(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0]
-    return merged.replace("OBJECT<", "STRUCT<").replace("VARIANT", "STRING").replace("VOID", "STRING")
+    for inferred, wanted in _COLUMN_TYPES:
+        merged = re.sub(_TYPE_PLACE + inferred, rf"\g<1>{wanted}", merged)
+    if not merged.startswith("STRUCT<"):
+        raise ValueError(f"column {column!r} holds no JSON objects")
+    return merged
 
 
 def parse_json_strings(strings: DataFrame, column: str, schema: str | T.StructType | None = None) -> DataFrame:

@@ -1,0 +1,22 @@
+"""Dealing the rows of small inputs over all cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from sparkloom.operators.joins import plan_bytes
+
+SMALLEST = 1 << 20
+LARGEST = 1 << 30
+
+
+def deal_small(frame: DataFrame) -> DataFrame:
+    """Repartition an input between 1 MiB and 1 GiB; leave any other as it is read.
+
+    A file that small often is a single row group and so a single task, however costly the work per row.
+    Moving at most 1 GiB is cheap next to that work. Larger inputs have enough splits of their own and
+    are never shuffled here; nor are streams, whose size is not known.
+    """
+    if frame.isStreaming or not SMALLEST <= plan_bytes(frame) <= LARGEST:
+        return frame
+    return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism)

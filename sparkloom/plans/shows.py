@@ -24,7 +24,7 @@ def collect_items(flat: DataFrame, keys: list[str], ordinal: str, fields: list[s
     n * part_size on, so a document of any length spreads over arrays of at most `part_size` entries;
     documents shorter than that are one row with part 0.
     """
-    part = F.floor(F.col(ordinal) / F.lit(part_size)).cast("bigint")
+    part = F.expr(f"(`{ordinal}` - pmod(`{ordinal}`, {part_size}L)) div {part_size}L")
     entry = F.struct(ordinal, *[name for name in fields if name != ordinal])
     return (flat.groupBy(*keys, part.alias("part"))
             .agg(F.sort_array(F.collect_list(entry)).alias("items")))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.operators.balance import deal_small
+
 VOWELS = ["a", "e", "i", "o", "u"]
 
 
@@ -42,7 +44,8 @@ def initials(text: str | Column) -> Column:
 
 def words(texts: DataFrame, column: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per cleaned word."""
-    return texts.select(*keep, F.explode(cleaned_words(column)).alias("word"))
+    dealt = deal_small(texts.select(*keep, column))
+    return dealt.select(*keep, F.explode(cleaned_words(column)).alias("word"))
 
 
 def _count(frame: DataFrame, *keys) -> DataFrame:
@@ -75,7 +78,8 @@ def first_words_once(texts: DataFrame, k: int = 5, column: str = "text") -> Data
 
 
 def _letters(texts: DataFrame, column: str) -> DataFrame:
-    letter = texts.select(F.explode(initials(column)).alias("letter")).select(F.lower("letter").alias("letter"))
+    dealt = deal_small(texts.select(column))
+    letter = dealt.select(F.explode(initials(column)).alias("letter")).select(F.lower("letter").alias("letter"))
     return letter.where(F.col("letter").rlike("[a-z]"))
 
 
