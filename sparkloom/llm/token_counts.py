@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,7 +105,7 @@ def count_texts(path: str, texts: list[str]) -> list[int]:
 def _count(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches, 1, 1 << 20):
         counts = count_texts(path, batch.column(1).to_pylist())
-        sizes = pa.compute.binary_length(batch.column(1)).cast(pa.int64())
+        sizes = pc.binary_length(batch.column(1)).cast(pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(counts, pa.int64())],
                                          ["doc_id", "n_bytes", "n_tokens"])
 
