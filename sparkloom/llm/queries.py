@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import bpe_codec, token_counts
+from sparkloom.llm import bpe_codec, exact_dedup, packing, sharding, token_counts, token_store, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,9 +25,63 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.find_copies(_table(spark, folder, "documents"), keep="largest")
+
+
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.cut(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2048, 0)
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), 2048)
+
+
+def op7_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    stored = token_store.round_trip(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+         ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return url_filter.judge(_table(spark, folder, "pages"), rules, default="allow")
+
+
+def op10_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Law `rows`: the bounded loads of the ring are tight, so counts differ by one at most."""
+    placed = sharding.assign(_table(spark, folder, "documents"), 24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op3_token_counts": op3_token_counts,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_token_store": op7_token_store,
+    "op9_url_filter": op9_url_filter,
+    "op10_ring_shards": op10_ring_shards,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op5_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+               doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+        FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""",
+    "op9_url_filter": """
+        WITH rules(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+             ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+        rest AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END
+                 AS r FROM (SELECT page_id, coalesce(url, '') AS url FROM pages)),
+        split AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                         'abcdefghijklmnopqrstuvwxyz') AS host,
+                         regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+        fits AS (SELECT s.page_id, max({'n': length(r.host || r.path), 'rule': r.host || r.path,
+                        'verdict': r.verdict}) AS best
+                 FROM split s JOIN rules r ON (s.host = r.host OR ends_with(s.host, '.' || r.host))
+                      AND starts_with(s.path, r.path) GROUP BY s.page_id)
+        SELECT s.page_id, s.host, s.path, f.best.rule AS rule, coalesce(f.best.verdict, 'allow') AS verdict
+        FROM split s LEFT JOIN fits f USING (page_id)""",
+}
