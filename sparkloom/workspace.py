@@ -2,38 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: tempfile.TemporaryDirectory | None = None
-
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder named by `spark.checkpoint.dir`; a temporary one only in local mode where it is unset."""
+    """Folder named by `spark.checkpoint.dir`; where it is unset, a folder below the warehouse, which is shared too."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    global _local_root
-    if _local_root is None:
-        _local_root = tempfile.TemporaryDirectory(prefix="sparkloom-")
-    return _local_root.name
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_sparkloom_work"
+
+
+def application_folder(spark: SparkSession) -> str:
+    """Parent of all folders that `new_folder` names in this application; delete it when its results are done with."""
+    return f"{shared_root(spark)}/sparkloom-{spark.sparkContext.applicationId}"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """Path of a fresh, not yet existing folder below the shared root, grouped by application."""
-    return f"{shared_root(spark)}/sparkloom-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def written(frame: DataFrame, label: str) -> DataFrame:
-    """Write the frame once to the shared folder and read it back.
+    """Write the frame once to the shared folder and read it back. This runs a job at once.
 
     Later steps neither recompute it nor depend on the executors that made it, and Catalyst knows its
-    real size when it chooses a join.
+    real size when it chooses a join. The folder stays until `application_folder` is deleted.
     """
     path = new_folder(frame.sparkSession, label)
     frame.write.parquet(path)
