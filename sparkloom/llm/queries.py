@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import bpe_codec, exact_dedup, packing, sharding, token_counts, token_store, url_filter
+from sparkloom.llm import bpe_codec, exact_dedup, jaccard_join, packing, quality_rules, sharding, token_counts
+from sparkloom.llm import token_store, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,6 +26,11 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return quality_rules.judge(docs, quality_rules.train(docs, _table(spark, folder, "labels")))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.find_copies(_table(spark, folder, "documents"), keep="largest")
 
@@ -39,6 +45,10 @@ def op7_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.link_groups(_table(spark, folder, "documents"), width=4, percent=85)
+
+
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
@@ -58,9 +68,11 @@ def op10_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op3_token_counts": op3_token_counts,
+    "op4_quality_rules": op4_quality_rules,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_store": op7_token_store,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_url_filter": op9_url_filter,
     "op10_ring_shards": op10_ring_shards,
 }
