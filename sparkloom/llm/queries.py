@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import bpe_codec, exact_dedup, jaccard_join, packing, quality_rules, sharding, token_counts
-from sparkloom.llm import token_store, url_filter
+from sparkloom.llm import suffix_dedup, token_store, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,13 @@ def op1_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
                         .alias("decoded_sha256"))
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_dedup.cut_repeats(_table(spark, folder, "documents"), 400)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["length"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -67,6 +74,7 @@ def op10_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op5_exact_dedup": op5_exact_dedup,
