@@ -171,11 +171,12 @@ def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length") ->
     by length.
     """
     pieces = pieces.drop("sequence_id", "offset")
-    names = pieces.columns
+    length = F.col(length_col).cast("long")
+    names = [f"__c{k}" for k in range(len(pieces.columns))]  # whatever the caller's names are
     spark = pieces.sparkSession
     salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    stored = written(pieces.select("*", F.col(length_col).cast("long").alias("__length"),
-                                   F.xxhash64(*[F.col(f"`{n}`") for n in names]).alias("__order")), "pieces")
+    stored = written(pieces.withColumn("__length", length).toDF(*names, "__length")
+                     .withColumn("__order", F.xxhash64(*names)), "pieces")
     salted = stored.withColumn("__salt", F.pmod("__order", F.lit(salts)))
     counted = salted.groupBy("__length").count().collect()  # one row for each length, `capacity` at most
     runs, _ = plan({row["__length"] or 0: row["count"] for row in counted}, capacity)
@@ -188,8 +189,9 @@ def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length") ->
              .select("__length", "__salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before")))
     within = Window.partitionBy("__length", "__salt").orderBy("__order")
     numbered = (salted.withColumn("__row", F.row_number().over(within)).join(parts, ["__length", "__salt"])
-                .select(*[F.col(f"`{n}`") for n in names], "__length",
+                .select(*names, "__length",
                         (F.col("__before") + F.col("__row") - 1).alias("__number")))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return numbered.mapInArrow(functools.partial(_locate, arrays, names),
-                               f"{schema}, sequence_id long, offset long")
+    schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, pieces.schema.fields))
+    placed = numbered.mapInArrow(functools.partial(_locate, arrays, names),
+                                 f"{schema}, sequence_id long, offset long")
+    return placed.toDF(*pieces.columns, "sequence_id", "offset")
