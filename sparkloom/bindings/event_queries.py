@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkloom.bindings.inputs import CHANGED_ROW, change_messages, click_messages, quote_messages, table, wide
-from sparkloom.functions.messages import delimited_fields
+from sparkloom.bindings.inputs import (CHANGED_ROW, READINGS, change_messages, click_messages, quote_messages,
+                                       reading_messages, table, wide)
+from sparkloom.functions.messages import array_rows, delimited_fields, parse_json_strings
 from sparkloom.operators.setops import union_distinct
 from sparkloom.plans import events as ev
 
@@ -27,6 +28,24 @@ def _messages(spark, folder):
     return change_messages(table(spark, folder, "events"))
 
 
+def _with_key(spark, folder):
+    """Changes beside the key of their message."""
+    messages = change_messages(table(spark, folder, "events"), keep=("event_id",)).withColumnRenamed("event_id", "key")
+    return ev.change_rows(messages, CHANGED_ROW, keep=("key",)).select("key", "op", F.col("after.value").alias("value"))
+
+
+def _devices(spark, folder):
+    return array_rows(reading_messages(table(spark, folder, "events")), READINGS, "data.devices",
+                      fields=("sender", "sent"), keep=("event_id",))
+
+
+def _big_numbers(spark, folder):
+    """Whole numbers of 20 digits keep them all."""
+    number = F.concat(F.lit('{"n": 1234567890'), F.lpad(F.col("event_id").cast("string"), 10, "0"), F.lit("}"))
+    parsed = parse_json_strings(table(spark, folder, "events").select(number.alias("j")), "j")
+    return parsed.select(F.col("n").cast("string").alias("n"))
+
+
 def _parts_text(spark, folder):
     return ev.change_parts_text(_messages(spark, folder)).select("op", "before", "after", "source")
 
@@ -47,6 +66,9 @@ def _quote_merge(spark, folder):
 
 QUERIES = {
     "cdc_unpack": lambda s, d: unpacked(_messages(s, d)),
+    "cdc_with_key": _with_key,
+    "device_readings": _devices,
+    "json_big_numbers": _big_numbers,
     "cdc_reads": lambda s, d: ev.changed_to(ev.change_rows(_messages(s, d), CHANGED_ROW, "iso-8859-1"), "r"),
     "cdc_parts_text": _parts_text,
     "json_function_tour": _json_tour,
@@ -66,6 +88,15 @@ QUOTES_SQL = """SELECT DISTINCT event_type AS symbol, cast(ts AS date) AS date,
 
 ORACLES = {
     "cdc_unpack": UNPACKED_SQL,
+    "cdc_with_key": _with_key,
+    "device_readings": _devices,
+    "json_big_numbers": _big_numbers,
+    "cdc_with_key": f"""SELECT event_id AS key, {_OP} AS op, CASE WHEN event_type <> 'error' THEN value END AS value
+        FROM events""",
+    "device_readings": """SELECT event_id, cast(user_id AS varchar) AS sender, cast(ts AS varchar) AS sent, device,
+            CASE device WHEN 'inner' THEN event_id ELSE event_id + user_id END AS reading, event_type AS state
+        FROM events, (VALUES ('inner'), ('outer')) d(device) WHERE event_type <> 'error'""",
+    "json_big_numbers": "SELECT '1234567890' || lpad(cast(event_id AS varchar), 10, '0') AS n FROM events",
     "cdc_reads": "SELECT 'r' AS op, event_id, user_id, value FROM events WHERE event_type IN ('click', 'view')",
     "cdc_parts_text": f"""SELECT {_OP} AS op, CASE WHEN event_type IN ('error', 'purchase') THEN {_ROW} END AS before,
         CASE WHEN event_type <> 'error' THEN {_ROW} END AS after, '{{"table":"events"}}' AS source FROM events""",

@@ -37,9 +37,12 @@ PARTIAL = ["ECONOMY"]
 
 
 def log_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as programmes; a seventh line has no class and no duration, so that one total is zero."""
+    last = F.col("l_linenumber") == 7
     return table(spark, folder, "lineitem").select(
-        F.col("l_suppkey").alias("service_id"), F.col("l_partkey").alias("class_id"),
-        F.col("l_orderkey").alias("category_id"), F.col("l_quantity").cast("bigint").alias("duration"))
+        F.col("l_suppkey").alias("service_id"), F.when(~last, F.col("l_partkey")).alias("class_id"),
+        F.col("l_orderkey").alias("category_id"),
+        F.when(last, 0).otherwise(F.col("l_quantity").cast("bigint")).cast("bigint").alias("duration"))
 
 
 def log_identifiers(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,7 +52,7 @@ def log_identifiers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def log_classes(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "part").where("p_size <= 40").select(
+    return table(spark, folder, "part").select(
         F.col("p_partkey").alias("class_id"), F.col("p_type").alias("class_code"),
         F.col("p_brand").alias("class_name"))
 
@@ -67,13 +70,20 @@ def log_channels(spark: SparkSession, folder: str) -> DataFrame:
 # Unit statistics -----------------------------------------------------------------------------------
 
 def unit_stats(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as daily rows of parts. A returned one is a failure, but models that end in 5 never fail."""
     facts = table(spark, folder, "lineitem").select(
         F.col("l_partkey").alias("serial_number"), F.col("l_shipdate").alias("date"),
-        F.col("l_returnflag").alias("status"), (F.col("l_returnflag") == "R").cast("bigint").alias("failure"))
+        F.col("l_returnflag").alias("status"))
     units = table(spark, folder, "part").select(
         F.col("p_partkey").alias("serial_number"), F.col("p_brand").alias("model"),
         (F.col("p_size").cast("bigint") * F.lit(1024 ** 3)).alias("capacity_bytes"))
-    return lookup_join(facts, units, "serial_number", "inner")
+    failed = (F.col("status") == "R") & ~F.col("model").endswith("5")
+    return lookup_join(facts, units, "serial_number", "inner").withColumn("failure", failed.cast("bigint"))
+
+
+def sold_units(spark: SparkSession, folder: str) -> DataFrame:
+    """One row for each unit that has daily rows; few units share a model and capacity, so modes are often tied."""
+    return unit_stats(spark, folder).select("serial_number", "model", "capacity_bytes").distinct()
 
 
 # Nested documents ----------------------------------------------------------------------------------
@@ -99,7 +109,7 @@ CHANGED_ROW = T.StructType([T.StructField("event_id", T.LongType()), T.StructFie
                             T.StructField("value", T.DoubleType())])
 
 
-def change_messages(events: DataFrame) -> DataFrame:
+def change_messages(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Events as change messages: errors are deletions, purchases updates, sign-ups insertions, others reads."""
     row = F.struct("event_id", "user_id", "value")
     op = (F.when(F.col("event_type") == "error", "d").when(F.col("event_type") == "purchase", "u")
@@ -108,7 +118,23 @@ def change_messages(events: DataFrame) -> DataFrame:
         F.when(op.isin("d", "u"), row).alias("before"), F.when(op != "d", row).alias("after"),
         F.create_map(F.lit("table"), F.lit("events")).alias("source"), op.alias("op"))
     text = F.to_json(F.struct(payload.alias("payload")), {"ignoreNullFields": "false"})
-    return events.select(F.encode(text, "UTF-8").alias("value"))
+    return events.select(F.encode(text, "UTF-8").alias("value"), *keep)
+
+
+READINGS = ("sender string, sent string, data STRUCT<devices: ARRAY<STRUCT<device: STRING, reading: BIGINT, "
+            "state: STRING>>>")
+
+
+def reading_messages(events: DataFrame) -> DataFrame:
+    """Events as JSON messages of a sender with one entry for each of two devices; errors have an empty list."""
+    def device(name: str, reading) -> Column:
+        return F.struct(F.lit(name).alias("device"), reading.alias("reading"), F.col("event_type").alias("state"))
+
+    devices = F.array(device("inner", F.col("event_id")), device("outer", F.col("event_id") + F.col("user_id")))
+    devices = F.when(F.col("event_type") != "error", devices).otherwise(F.slice(devices, 1, 0))
+    message = F.struct(F.col("user_id").cast("string").alias("sender"), stamp_text().alias("sent"),
+                       F.struct(devices.alias("devices")).alias("data"))
+    return events.select(F.encode(F.to_json(message), "UTF-8").alias("value"), "event_id")
 
 
 def click_messages(events: DataFrame) -> DataFrame:

@@ -76,11 +76,11 @@ QUERIES = {
     "array_ops": _array_ops,
     "map_ops": _map_ops,
     "explode_episodes": _explode,
-    "posexplode_map": lambda s, d: wide(shows.key_value_rows(conversation_shows(s, d), "turn", "role", keep=("conv_id", "part"))),
+    "posexplode_map": lambda s, d: wide(shows.key_value_rows(conversation_shows(s, d), "turn", "role", keep=("conv_id",), part="part")),
     "collect_episodes": _collect,
     "struct_pack": _pack,
-    "series_tenure": lambda s, d: shows.tenure_seconds(event_shows(s, d), "airstamp", keep=("user_id", "part")),
-    "series_tenure_dates": lambda s, d: wide(shows.tenure_days(event_shows(s, d), "airdate", keep=("user_id", "part"))),
+    "series_tenure": lambda s, d: shows.tenure_seconds(event_shows(s, d), "airstamp", keep=("user_id",), part="part"),
+    "series_tenure_dates": lambda s, d: wide(shows.tenure_days(event_shows(s, d), "airdate", keep=("user_id",), part="part")),
     "series_tenure_flat": _tenure_flat,
     "nested_projection": _projection,
     "map_from_table": _table_map,
@@ -98,17 +98,16 @@ ORACLES = {
     "map_ops": """SELECT doc_id, lang AS by_lookup, source AS by_dot, cast(n_chars AS varchar) AS by_index,
         cast(NULL AS varchar) AS absent FROM documents""",
     "explode_episodes": "SELECT conv_id, turn, role, text FROM conversations",
-    "posexplode_map": """SELECT conv_id, turn // 1000 AS part, turn, role,
-        row_number() OVER (PARTITION BY conv_id, turn // 1000 ORDER BY turn) - 1 AS position FROM conversations""",
+    "posexplode_map": """SELECT conv_id, turn, role,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position FROM conversations""",
     "collect_episodes": """SELECT conv_id, turn // 1000 AS part,
         string_agg(cast(turn AS varchar) || ':' || role || ':' || text, '|' ORDER BY turn) AS episodes
         FROM conversations GROUP BY 1, 2""",
     "struct_pack": "SELECT doc_id, lang, source, n_chars, true AS has_watched FROM documents",
-    "series_tenure": """SELECT user_id, event_id // 1000 AS part,
-        cast(floor(epoch(arg_max(ts, event_id))) - floor(epoch(arg_min(ts, event_id))) AS bigint) AS duration_seconds
-        FROM events GROUP BY 1, 2""",
-    "series_tenure_dates": """SELECT user_id, event_id // 1000 AS part,
-        date_diff('day', min(cast(ts AS date)), max(cast(ts AS date))) AS tenure_days FROM events GROUP BY 1, 2""",
+    "series_tenure": """SELECT user_id, cast(floor(epoch(arg_max(ts, event_id))) - floor(epoch(arg_min(ts, event_id))) AS bigint) AS duration_seconds
+        FROM events GROUP BY user_id""",
+    "series_tenure_dates": """SELECT user_id,
+        date_diff('day', min(cast(ts AS date)), max(cast(ts AS date))) AS tenure_days FROM events GROUP BY user_id""",
     "series_tenure_flat": """SELECT user_id, date_diff('day', min(cast(ts AS date)), max(cast(ts AS date))) AS tenure_days
         FROM events GROUP BY 1""",
     "nested_projection": """SELECT conv_id, turn // 1000 AS part, string_agg(role, ',' ORDER BY turn) AS roles,

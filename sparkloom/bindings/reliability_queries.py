@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from sparkloom.bindings.inputs import table, unit_stats, wide
+from sparkloom.bindings.inputs import sold_units, table, unit_stats, wide
 from sparkloom.operators.setops import union_common_columns
 from sparkloom.plans import catalog
 from sparkloom.plans import reliability as rel
@@ -39,8 +39,7 @@ def _reliable(spark, folder):
 
 
 def _normalised(spark, folder):
-    return rel.normalise_capacity(unit_stats(spark, folder).select("serial_number", "model", "date", "failure",
-                                                                   "capacity_bytes"))
+    return rel.normalise_capacity(sold_units(spark, folder))
 
 
 QUERIES = {
@@ -57,7 +56,7 @@ QUERIES = {
     "reliable_for_capacity": _reliable,
     "average_unit_age": lambda s, d: rel.average_unit_age(unit_stats(s, d)),
     "first_of_month_capacity": lambda s, d: rel.first_of_month_capacity(unit_stats(s, d)),
-    "modal_capacity": lambda s, d: rel.modal_capacity(unit_stats(s, d)),
+    "modal_capacity": lambda s, d: rel.modal_capacity(sold_units(s, d)),
     "normalise_capacity": _normalised,
     "union_common_columns": _union,
     "phase_counts": lambda s, d: wide(catalog.group_counts(_elements(s, d), "PROMO")),
@@ -65,7 +64,8 @@ QUERIES = {
 }
 
 _STATS = """stats AS (SELECT l_partkey AS serial_number, cast(l_shipdate AS date) AS date, p_brand AS model,
-        cast(p_size AS bigint) * 1073741824 AS capacity_bytes, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS failure
+        cast(p_size AS bigint) * 1073741824 AS capacity_bytes, 
+        CASE WHEN l_returnflag = 'R' AND p_brand NOT LIKE '%5' THEN 1 ELSE 0 END AS failure, l_returnflag AS status
     FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 _RANGE = f"""WITH {_STATS} SELECT model, min(capacity_bytes / pow(1024, 3)) AS min_gb,
     max(capacity_bytes / pow(1024, 3)) AS max_gb FROM stats GROUP BY model HAVING min_gb <> max_gb"""
@@ -77,14 +77,15 @@ _RATE = f"""WITH {_STATS} SELECT model, failures / drive_days AS failure_rate
     JOIN (SELECT model, count(*) AS failures FROM stats WHERE failure = 1 GROUP BY model) USING (model)"""
 _RATES = f"""{_STATS}, rates AS (SELECT model, capacity_bytes / pow(1024, 3) AS "capacity_GB",
         sum(failure) / count(*) AS failure_rate FROM stats GROUP BY model, capacity_bytes)"""
-_MODAL = f"""{_STATS}, counts AS (SELECT model, capacity_bytes, count(*) AS n FROM stats GROUP BY ALL),
+_MODAL = f"""{_STATS}, units AS (SELECT DISTINCT serial_number, model, capacity_bytes FROM stats),
+    counts AS (SELECT model, capacity_bytes, count(*) AS n FROM units GROUP BY ALL),
     modal AS (SELECT model, capacity_bytes FROM counts
               WHERE (model, n) IN (SELECT (model, max(n)) FROM counts GROUP BY model))"""
 _PHASE = """SELECT cast(p_size AS bigint) AS period, count(*) AS "count" FROM part
     WHERE p_type = 'PROMO' GROUP BY p_size"""
 
 ORACLES = {
-    "failed_serials": f"WITH {_STATS} SELECT serial_number FROM stats WHERE failure = 1",
+    "failed_serials": f"WITH {_STATS} SELECT serial_number FROM stats WHERE status = 'R'",
     "capacity_range_by_model": _RANGE,
     "capacity_range_by_model_sql": _RANGE,
     "failure_counts_left": _LEFT,
@@ -102,12 +103,11 @@ ORACLES = {
             date_diff('day', min(date), max(date)) AS age FROM stats GROUP BY ALL)
         SELECT model, capacity_bytes / pow(1024, 3) AS "capacity_GB", avg(age) AS avg_age
         FROM units GROUP BY model, capacity_bytes""",
-    "first_of_month_capacity": f"""WITH {_STATS} SELECT date, sum(capacity_bytes / pow(1024, 4)) AS "capacity_TB"
+    "first_of_month_capacity": f"""WITH {_STATS} SELECT date, sum(capacity_bytes) / pow(1024, 4) AS "capacity_TB"
         FROM stats WHERE extract(day FROM date) = 1 GROUP BY date""",
     "modal_capacity": f"WITH {_MODAL} SELECT * FROM modal",
-    "normalise_capacity": f"""WITH {_MODAL} SELECT l_partkey AS serial_number, p_brand AS model, l_shipdate AS date,
-            CASE WHEN l_returnflag = 'R' THEN 1::bigint ELSE 0::bigint END AS failure, modal.capacity_bytes
-        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN modal ON modal.model = p_brand""",
+    "normalise_capacity": f"""WITH {_MODAL} SELECT serial_number, model, modal.capacity_bytes
+        FROM units JOIN modal USING (model)""",
     "union_common_columns": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "phase_counts": _PHASE,
     "phase_counts_sql": _PHASE,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from sparkloom.bindings.inputs import (COMMERCIAL, PARTIAL, log_categories, log_channels, log_classes, log_facts,
                                        log_identifiers, table, wide)
 from sparkloom.operators import joins
@@ -38,9 +40,15 @@ def _orders_customers(spark, folder):
     return orders, customers
 
 
-def _customers_urgent(spark, folder):
-    orders, customers = _orders_customers(spark, folder)
-    return customers, orders.where("o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'")
+def _documents_labels(spark, folder):
+    return table(spark, folder, "documents"), table(spark, folder, "labels")
+
+
+def _spread(spark, folder):
+    """Events with their type's mean value; each of the few types is a hot key."""
+    events = table(spark, folder, "events").select("event_id", "event_type", "value")
+    means = events.groupBy("event_type").agg(F.count("*").alias("events"), F.min("value").alias("lowest"))
+    return joins.lookup_join(events, means, "event_type", hot=joins.hot_keys(events, "event_type"))
 
 
 QUERIES = {
@@ -55,16 +63,17 @@ QUERIES = {
     "join_disambiguation": lambda s, d: wide(joins.lookup_join(*_orders_customers(s, d), "custkey")),
     "join_by_reference": lambda s, d: wide(joins.join_on_reference(*_orders_customers(s, d), "custkey", "custkey")),
     "join_by_alias": lambda s, d: wide(joins.join_on_alias(*_orders_customers(s, d), "custkey", "custkey")),
-    "anti_join": lambda s, d: joins.keys_without_match(*_customers_urgent(s, d), "custkey"),
-    "anti_join_null_form": lambda s, d: joins.keys_without_match_by_null(*_customers_urgent(s, d), "custkey"),
+    "join_spread": _spread,
+    "anti_join": lambda s, d: joins.keys_without_match(*_documents_labels(s, d), "doc_id"),
+    "anti_join_null_form": lambda s, d: joins.keys_without_match_by_null(*_documents_labels(s, d), "doc_id"),
 }
 
-_LOG = """log AS (SELECT cast(l.l_quantity AS bigint) AS duration, s.s_nationkey AS channel_id,
+_LOG = """log AS (SELECT CASE WHEN l.l_linenumber = 7 THEN 0 ELSE cast(l.l_quantity AS bigint) END AS duration, s.s_nationkey AS channel_id,
         n.n_name AS channel_name, p.p_type AS class_code, p.p_brand AS class_name, o.o_orderpriority AS category_name
     FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey AND s.s_acctbal > 5000
     JOIN nation n ON s.s_nationkey = n.n_nationkey
     LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
-    LEFT JOIN part p ON l.l_partkey = p.p_partkey AND p.p_size <= 40)"""
+    LEFT JOIN part p ON l.l_partkey = p.p_partkey AND l.l_linenumber <> 7)"""
 _FULL = "coalesce(sum(CASE WHEN class_code IN ('PROMO', 'SMALL') THEN duration ELSE 0 END), 0)"
 _CLASSES = f"""WITH {_LOG}, sums AS (SELECT class_code, class_name,
         cast({_FULL} AS bigint) AS duration_commercial, cast(sum(duration) AS bigint) AS duration_total
@@ -84,8 +93,8 @@ def _channels(commercial: str) -> str:
 _JOINED = """SELECT o_custkey AS custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
     c_name, cast(c_nationkey AS bigint) AS c_nationkey, c_acctbal, c_mktsegment
     FROM orders JOIN customer ON o_custkey = c_custkey"""
-_UNMATCHED = """SELECT c_custkey AS custkey FROM customer WHERE c_custkey NOT IN (
-    SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P')"""
+_UNMATCHED = """SELECT DISTINCT doc_id FROM documents d
+    WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"""
 
 ORACLES = {
     "star_duration_by_class": f"""WITH {_LOG} SELECT class_code, class_name,
@@ -103,6 +112,8 @@ ORACLES = {
     "join_disambiguation": _JOINED,
     "join_by_reference": _JOINED,
     "join_by_alias": _JOINED,
+    "join_spread": """SELECT event_id, event_type, value, count(*) OVER (PARTITION BY event_type) AS events,
+        min(value) OVER (PARTITION BY event_type) AS lowest FROM events""",
     "anti_join": _UNMATCHED,
     "anti_join_null_form": _UNMATCHED,
 }

@@ -21,17 +21,24 @@ from sparkloom.streaming.runner import for_each_batch, to_parquet
 from sparkloom.workspace import new_folder
 
 
+BATCHES = 3
+
+
 def _stream(spark, folder, name):
-    """A table as a stream. The path is a glob because the source takes a single file only that way."""
-    return stream_parquet(spark, f"{folder}/{name}.parque[t]", table(spark, folder, name).schema)
+    """A whole table as a stream of several batches: its rows are dealt over files, and a batch takes one file."""
+    path, rows = new_folder(spark, f"{name}-in"), table(spark, folder, name)
+    rows.repartition(BATCHES).write.parquet(path)
+    return stream_parquet(spark, path, rows.schema, files_per_batch=1)
 
 
 def _to_files(spark, folder):
-    path, checkpoint = new_folder(spark, "events-out"), new_folder(spark, "checkpoint")
-    stream = _stream(spark, folder, "events")
-    for _ in range(2):
-        to_parquet(stream, path, checkpoint)
-    return spark.read.schema(stream.schema).parquet(path)
+    """The second run begins where the first one ended and finds the rest of the files."""
+    path, checkpoint, source = (new_folder(spark, label) for label in ("events-out", "checkpoint", "events-in"))
+    events = table(spark, folder, "events")
+    for step, predicate in enumerate(("event_type = 'click'", "event_type <> 'click'")):
+        events.where(predicate).repartition(BATCHES).write.parquet(f"{source}/step={step}")
+        to_parquet(stream_parquet(spark, f"{source}/*", events.schema, files_per_batch=1), path, checkpoint)
+    return spark.read.schema(events.schema).parquet(path)
 
 
 def _cdc(spark, folder):
@@ -52,16 +59,15 @@ def _per_batch(spark, folder):
 
 
 def _running(spark, folder):
-    path = new_folder(spark, "totals")
-    word_counts.count_running(lines(_stream(spark, folder, "documents")).select("value"), path,
-                              new_folder(spark, "checkpoint"))
-    return word_counts.read_running(spark, path)
+    path, folded = new_folder(spark, "totals"), new_folder(spark, "totals")
+    word_counts.count_running(_stream(spark, folder, "documents"), path, new_folder(spark, "checkpoint"), "text")
+    word_counts.fold_running(spark, path, folded)
+    return word_counts.read_running(spark, folded)
 
 
 def _running_complete(spark, folder):
     path = new_folder(spark, "totals")
-    word_counts.count_running_complete(lines(_stream(spark, folder, "documents")).select("value"), path,
-                                       new_folder(spark, "checkpoint"))
+    word_counts.count_running_complete(_stream(spark, folder, "documents"), path, new_folder(spark, "checkpoint"), "text")
     return word_counts.read_last_snapshot(spark, path)
 
 
@@ -70,6 +76,7 @@ def _upsert(spark, folder):
                               spark.createDataFrame([], CLICK_SCHEMA).schema)
     target = KeyedTable(new_folder(spark, "clicks"), "row_key", ("clickinfo.time", "clickinfo.studentid"))
     for_each_batch(click_rows(clicks), target.put, new_folder(spark, "checkpoint"))
+    target = target.compact(spark, new_folder(spark, "clicks"))
     return target.read(spark).select("row_key", "clickinfo.*", "iteminfo.*")
 
 
@@ -91,6 +98,7 @@ QUERIES = {
     "quote_merge_stream": _quote_merge,
 }
 
+# A replaced row may not depend on the cut into batches: the newest time counts, whichever batch brings it.
 _PARTS = """lines AS (SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents),
      parts AS (SELECT lang, unnest(string_split(line, ' ')) AS word FROM lines)"""
 _RUNNING = f'WITH {_PARTS} SELECT word, count(*) AS "count" FROM parts GROUP BY word'

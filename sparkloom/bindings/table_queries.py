@@ -87,9 +87,47 @@ def _profile_basic(spark, folder):
 
 
 def _profile_quantiles(spark, folder):
-    return summaries.profile_quantiles(table(spark, folder, "lineitem"),
-                                       ["l_quantity", "l_discount", "l_tax", "l_linenumber"],
-                                       (0.1, 0.25, 0.5, 0.75, 0.9))
+    return summaries.profile_quantiles(table(spark, folder, "lineitem"), fractions=(0.1, 0.25, 0.5, 0.75, 0.9))
+
+
+def _profile_summary(spark, folder):
+    profile = summaries.profile_summary(table(spark, folder, "lineitem"))
+    return profile.withColumns({name: F.round(name, 6) for name in ("mean", "stddev")})
+
+
+def _csv_hard(spark, folder):
+    """Line breaks, quotes, empty strings and nulls."""
+    path = new_folder(spark, "documents-csv")
+    documents = table(spark, folder, "documents").select(
+        "doc_id", F.concat("source", F.lit(', "'), "lang", F.lit('"')).alias("label"),
+        F.when(F.col("lang") == "de", F.lit("")).when(F.col("lang") != "fr", F.col("text")).alias("text"))
+    sink.write_delimited(documents, path)
+    return source.read_delimited(spark, path, schema=documents.schema, multi_line=True)
+
+
+def _csv_inferred(spark, folder):
+    path = new_folder(spark, "supplier-csv")
+    sink.write_delimited(table(spark, folder, "supplier"), path, sep=";")
+    return wide(source.read_delimited(spark, path, sep=";", infer=True))
+
+
+def _text_glob(spark, folder):
+    """Two directories of text files, read by one pattern."""
+    path = new_folder(spark, "lines")
+    documents = table(spark, folder, "documents")
+    for name, predicate in (("english", "lang = 'en'"), ("other", "lang <> 'en'")):
+        sink.write_lines(lines(documents.where(predicate)).select("value"), f"{path}/{name}")
+    return source.read_lines(spark, f"{path}/*/part-*").groupBy("value").agg(F.count("*").alias("copies"))
+
+
+def _json_documents(spark, folder):
+    """One JSON document per file: an array of up to 500 customers, written over several lines."""
+    path = new_folder(spark, "customer-json")
+    customers = table(spark, folder, "customer")
+    grouped = customers.groupBy(F.floor(F.col("c_custkey") / 500).alias("file")).agg(
+        F.to_json(F.collect_list(F.struct(*customers.columns))).alias("value"))
+    grouped.select("file", F.replace("value", F.lit("},{"), F.lit("},\n{")).alias("value")).write.partitionBy("file").text(path)
+    return wide(source.read_json(spark, f"{path}/file=*", customers.schema, whole_file=True, strict=True))
 
 
 def _cast_by_prefix(spark, folder):
@@ -103,11 +141,12 @@ def _safe_convert(spark, folder):
     events = table(spark, folder, "events")
     mixed = F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("user_id").cast("string"))
     day = F.when(F.col("event_type") == "click", "2024-13-45").otherwise(F.substring(stamp_text(), 1, 10))
-    return events.select("event_id", mixed.alias("number"), day.alias("day")).select(
+    return events.select("event_id", "ts", mixed.alias("number"), day.alias("day")).select(
         "event_id", scalars.safe_convert("number", "bigint").alias("number"),
         scalars.safe_convert("day", "date").alias("day"),
         scalars.or_default(scalars.safe_convert("number", "bigint"), -1).alias("number_or_default"),
-        scalars.text_or_empty(scalars.safe_convert("number", "bigint")).alias("number_text"))
+        scalars.text_or_empty(scalars.safe_convert("number", "bigint")).alias("number_text"),
+        scalars.safe_convert("ts", "date").alias("stamp_day"))
 
 
 def _scaled_text(spark, folder):
@@ -135,6 +174,10 @@ QUERIES = {
     "csv_roundtrip_pipe": _csv_pipe,
     "csv_quote": _csv_quote,
     "csv_untyped": _csv_untyped,
+    "csv_roundtrip_hard": _csv_hard,
+    "csv_inferred": _csv_inferred,
+    "text_glob": _text_glob,
+    "json_documents": _json_documents,
     "text_roundtrip": _text_roundtrip,
     "jsonl_roundtrip": _json_roundtrip,
     "parquet_roundtrip": _parquet_roundtrip,
@@ -144,6 +187,7 @@ QUERIES = {
     "column_tidy": _column_tidy,
     "profile_basic": _profile_basic,
     "profile_quantiles": _profile_quantiles,
+    "profile_summary": _profile_summary,
     "cast_by_prefix": _cast_by_prefix,
     "safe_convert": _safe_convert,
     "scaled_text": _scaled_text,
@@ -169,7 +213,13 @@ def _quantile_sql() -> str:
         marks = ", ".join(f"cast(quantile_disc({c}, {p / 100}) AS double) AS p{p}" for p in (10, 25, 50, 75, 90))
         return f"""SELECT '{c}' AS "column", cast(min({c}) AS double) AS "min", {marks},
             cast(max({c}) AS double) AS "max" FROM lineitem"""
-    return " UNION ALL ".join(one(c) for c in ("l_quantity", "l_discount", "l_tax", "l_linenumber"))
+    return " UNION ALL ".join(one(c) for c in _NUMBERS)
+
+
+def _summary_sql() -> str:
+    marks = ", ".join(f"q.p{p}" for p in (25, 50, 75))
+    return f"""WITH b AS ({_basic_sql()}), q AS ({_quantile_sql()})
+        SELECT b.*, {marks} FROM b LEFT JOIN q ON b."column" = q."column\""""
 
 
 ORACLES = {
@@ -179,6 +229,13 @@ ORACLES = {
         FROM supplier""",
     "csv_untyped": """SELECT cast(s_suppkey AS varchar) AS s_suppkey, s_name,
         cast(s_nationkey AS varchar) AS s_nationkey, cast(s_acctbal AS varchar) AS s_acctbal FROM supplier""",
+    "csv_roundtrip_hard": """SELECT doc_id, source || ', "' || lang || '"' AS label,
+        CASE WHEN lang = 'de' THEN '' WHEN lang <> 'fr' THEN text END AS text FROM documents""",
+    "csv_inferred": "SELECT s_suppkey, s_name, cast(s_nationkey AS bigint) AS s_nationkey, s_acctbal FROM supplier",
+    "text_glob": """SELECT value, count(*) AS copies
+        FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents) GROUP BY value""",
+    "json_documents": """SELECT c_custkey, c_name, cast(c_nationkey AS bigint) AS c_nationkey, c_acctbal,
+        c_mktsegment FROM customer""",
     "text_roundtrip": """SELECT value, count(*) AS copies
         FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents) GROUP BY value""",
     "jsonl_roundtrip": """SELECT c_custkey, c_name, cast(c_nationkey AS bigint) AS c_nationkey, c_acctbal,
@@ -192,13 +249,15 @@ ORACLES = {
     "column_tidy": "SELECT o_orderdate, o_orderpriority, o_orderstatus, o_totalprice FROM orders",
     "profile_basic": _basic_sql(),
     "profile_quantiles": _quantile_sql(),
+    "profile_summary": _summary_sql(),
     "cast_by_prefix": """SELECT c_custkey AS smart_key, cast(NULL AS bigint) AS smart_name,
         cast(c_nationkey AS varchar) AS c_nationkey, cast(NULL AS bigint) AS smart_balance, c_mktsegment
         FROM customer""",
     "safe_convert": """SELECT event_id, CASE WHEN event_type <> 'error' THEN user_id END AS number,
         CASE WHEN event_type <> 'click' THEN cast(ts AS date) END AS day,
         CASE WHEN event_type <> 'error' THEN user_id ELSE -1 END AS number_or_default,
-        CASE WHEN event_type <> 'error' THEN cast(user_id AS varchar) ELSE '' END AS number_text FROM events""",
+        CASE WHEN event_type <> 'error' THEN cast(user_id AS varchar) ELSE '' END AS number_text,
+        cast(ts AS date) AS stamp_day FROM events""",
     "scaled_text": """SELECT event_id, CASE WHEN event_type <> 'error' THEN printf('%.1f', value) ELSE '' END AS one,
         CASE WHEN event_type <> 'error' THEN printf('%.3f', value) ELSE '' END AS three FROM events""",
     "null_safe_aggregates": """WITH e AS (SELECT user_id, event_id,

@@ -11,12 +11,12 @@ def _documents(spark, folder):
 
 
 def _filtered(spark, folder):
-    kept = text.filter_words(text.words(_documents(spark, folder)), ["no", "is", "the", "if"], 3)
+    kept = text.filter_words(text.words(_documents(spark, folder)), ["the", "und", "pour", "una", "that"], 3)
     return kept.groupBy("word").count()
 
 
 def _not_is(spark, folder):
-    kept = text.filter_words(text.words(_documents(spark, folder)), ["is"])
+    kept = text.filter_words(text.words(_documents(spark, folder)), ["the"])
     return kept.groupBy("word").count()
 
 
@@ -64,7 +64,7 @@ ORACLES = {
         numbered AS (SELECT doc_id, unnest(range(len(l))) AS line_no, unnest(l) AS line FROM split)
         SELECT doc_id, line_no, length(line) AS number_of_char FROM numbered""",
     "word_filters": f"""WITH {_WORDS} SELECT word, count(*) AS "count" FROM clean
-        WHERE word NOT IN ('no', 'is', 'the', 'if') AND length(word) > 3 GROUP BY word""",
+        WHERE word NOT IN ('the', 'und', 'pour', 'una', 'that') AND length(word) > 3 GROUP BY word""",
     "word_filter_not_equal": f"""WITH {_WORDS} SELECT word, count(*) AS "count" FROM clean
-        WHERE word <> 'is' GROUP BY word""",
+        WHERE word <> 'the' GROUP BY word""",
 }

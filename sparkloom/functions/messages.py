@@ -14,15 +14,29 @@ def payload_text(value: str | Column, charset: str = "UTF-8") -> Column:
     return F.decode(value, charset)
 
 
-def delimited_fields(messages: DataFrame, schema: T.StructType, column: str = "value", delimiter: str = ",") -> DataFrame:
+def delimited_fields(messages: DataFrame, schema: T.StructType, column: str = "value", delimiter: str = ",",
+                     keep: tuple[str, ...] = ()) -> DataFrame:
     """Split each message and cast item i to field i; messages with another field count are dropped.
 
-    The delimiter is taken literally. Works on batch and streaming frames alike.
+    The delimiter is taken literally. `keep` names columns of the message, such as its key or timestamp, that stay in
+    front. Works on batch and streaming frames alike.
     """
     parts = F.split(F.col(column).cast("string"), rf"\Q{delimiter}\E")
-    split = messages.select(parts.alias("_parts")).where(F.size("_parts") == len(schema.fields))
-    return split.select(*[F.get("_parts", F.lit(i)).try_cast(field.dataType).alias(field.name)
-                          for i, field in enumerate(schema.fields)])
+    split = messages.select(*keep, parts.alias("_parts")).where(F.size("_parts") == len(schema.fields))
+    return split.select(*keep, *[F.get("_parts", F.lit(i)).try_cast(field.dataType).alias(field.name)
+                                 for i, field in enumerate(schema.fields)])
+
+
+def array_rows(messages: DataFrame, schema: T.StructType | str, items: str, value: str = "value",
+               fields: tuple[str, ...] = (), keep: tuple[str, ...] = ()) -> DataFrame:
+    """JSON messages with an array of structs at the path `items`: one row per entry, its fields as columns.
+
+    `fields` names parts of the message and `keep` columns beside it that stay in front of each entry. Messages
+    without entries, or that cannot be read, disappear.
+    """
+    read = messages.select(*keep, F.from_json(payload_text(value), schema).alias("_m"))
+    entries = read.select(*keep, *[F.col(f"_m.{f}").alias(f) for f in fields], F.explode(f"_m.{items}").alias("_e"))
+    return entries.select(*keep, *fields, "_e.*")
 
 
 def envelope_schema(row_schema: T.StructType) -> T.StructType:
@@ -37,26 +51,36 @@ def envelope_schema(row_schema: T.StructType) -> T.StructType:
     ])
 
 
-# Inferred type names, where a type may stand, and the column type each becomes.
-_TYPE_PLACE = r"(^|: |ARRAY<)"
-_COLUMN_TYPES = [(r"OBJECT<", "STRUCT<"), (r"(?:VARIANT|VOID)(?=[,>]|$)", "STRING"), (r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE")]
+def _column_type(found: T.DataType) -> T.DataType:
+    """The column type of an inferred one: fractions are doubles, mixed or unknown values text."""
+    if isinstance(found, T.StructType):
+        return T.StructType([T.StructField(f.name, _column_type(f.dataType)) for f in found.fields])
+    if isinstance(found, T.ArrayType):
+        return T.ArrayType(_column_type(found.elementType))
+    if isinstance(found, (T.VariantType, T.NullType)):
+        return T.StringType()
+    if isinstance(found, T.DecimalType) and found.scale > 0:
+        return T.DoubleType()
+    return found
 
 
-def json_schema_ddl(strings: DataFrame, column: str) -> str:
-    """Infer one DDL schema from a column of JSON objects held as strings.
+def json_schema(strings: DataFrame, column: str) -> T.StructType:
+    """Infer one schema from a column of JSON objects held as strings.
 
-    The merge runs as a distributed aggregate; only the resulting type text reaches the driver. Arrays
-    that mix types are widened to strings, and fractions are doubles.
+    The merge runs as a distributed aggregate; only the resulting type text reaches the driver, so the objects should
+    have a bounded number of different keys. Arrays that mix types are widened to strings, fractions are doubles, and
+    whole numbers too large for bigint keep all their digits as decimals.
     """
     merged = strings.select(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0]
-    for inferred, wanted in _COLUMN_TYPES:
-        merged = re.sub(_TYPE_PLACE + inferred, rf"\g<1>{wanted}", merged)
-    if not merged.startswith("STRUCT<"):
+    # The variant functions call a struct an object; a field of that name is followed by a colon and not by `<`.
+    merged = re.sub(r"(^|: |ARRAY<)OBJECT<", r"\g<1>STRUCT<", merged)
+    found = T.DataType.fromDDL(merged) if merged.startswith("STRUCT<") else None
+    if not isinstance(found, T.StructType):
         raise ValueError(f"column {column!r} holds no JSON objects")
-    return merged
+    return _column_type(found)
 
 
 def parse_json_strings(strings: DataFrame, column: str, schema: str | T.StructType | None = None) -> DataFrame:
     """Expand JSON strings to typed columns, inferring the schema in one extra pass when none is given."""
-    schema = schema if schema is not None else json_schema_ddl(strings, column)
+    schema = schema if schema is not None else json_schema(strings, column)
     return strings.select(F.from_json(column, schema).alias("_row")).select("_row.*")

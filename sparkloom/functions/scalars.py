@@ -23,13 +23,14 @@ def safe_convert(value: str | Column, data_type: T.DataType | str, date_format:
     """Cast, or null when the value does not fit; dates are parsed with `date_format`.
 
     The default date form goes through a cast behind a shape test: unlike a pattern parser it raises
-    nothing inside for a bad date, which is many times faster on dirty columns.
+    nothing inside for a bad date, which is many times faster on dirty columns. Timestamps are cast as they are.
     """
     value = F.col(value) if isinstance(value, str) else value
     if data_type != "date" and not isinstance(data_type, T.DateType):
         return value.try_cast(data_type)
     if date_format == ISO_DATE:
-        return F.when(value.cast("string").rlike(r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$"), value.try_cast("date"))
+        shaped = value.cast("string").rlike(r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$")
+        return F.when((F.typeof(value) != "string") | shaped, value.try_cast("date"))
     return F.try_to_date(value, date_format)
 
 

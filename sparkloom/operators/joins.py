@@ -1,8 +1,9 @@
-"""Joins that stay balanced when one key holds a large share of the rows.
+"""Equi-joins that stay balanced when some keys hold a large share of the rows.
 
-A lookup side that Spark can prove small is left to its broadcast join. Beyond that size both sides are
-shuffled, and the heaviest keys are spread over several partitions first. Every row takes part in either
-form, so the two give the same result.
+Without a list of hot keys the join is Spark's: broadcast where the session allows it, else shuffled, with the
+partitions of a hot key split by adaptive execution. With a list (`hot_keys`) the rows of those keys are spread over
+all shuffle partitions before the join, which also holds where adaptive execution cannot split. Every row takes part
+in either form, so the two give the same result.
 """
 
 from __future__ import annotations
@@ -14,34 +15,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkloom.workspace import written
+
 SPREAD = "_spread"
-HOT_KEYS = 100
+# Kinds in which each fact row belongs to one partition, so that lookup rows may be repeated.
+SPREADABLE = ("inner", "left", "left_semi", "left_anti")
 
 
-def plan_bytes(frame: DataFrame) -> int:
-    """Catalyst's size estimate for the optimised plan."""
-    return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def _partitions(frame: DataFrame) -> int:
+    return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def broadcast_limit(frame: DataFrame) -> int:
-    """The session's automatic broadcast threshold in bytes (negative when switched off)."""
-    return frame.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+def _key_hash(keys: list[str]) -> Column:
+    """A hash that is the same for equal keys of different whole-number types."""
+    return F.xxhash64(*[F.col(k).cast("string") for k in keys])
 
 
-def fits_broadcast(frame: DataFrame, limit_bytes: int | None = None) -> bool:
-    limit = broadcast_limit(frame) if limit_bytes is None else limit_bytes
-    return plan_bytes(frame) <= limit
+def _any_null(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def heaviest_keys(facts: DataFrame, keys: list[str], count: int = HOT_KEYS) -> DataFrame:
-    """The `count` most frequent keys.
+def hot_keys(facts: DataFrame, keys: str | list[str], partitions: int | None = None) -> DataFrame:
+    """Hashes of all keys that hold more than one partition's share of the rows, written once.
 
-    Any key with more than 1/count of the rows is among them. The order is total, so every evaluation
-    picks the same keys.
+    One pass with a mergeable frequent-items sketch and no shuffle of the facts. At most `partitions` keys can hold
+    that share, so the list has at most twice as many rows; the sketch tracks sixteen times as many and loses none
+    of them. It may name other frequent keys too, which does no harm. Runs a job at once.
     """
-    present = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    return (facts.select(*keys).where(present).groupBy(*keys).agg(F.count("*").alias("_uses"))
-            .orderBy(F.desc("_uses"), *keys).limit(count).select(*keys))
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    partitions = partitions or _partitions(facts)
+    tracked = 1 << (16 * partitions - 1).bit_length()
+    present = facts.where(~_any_null(keys)).select(_key_hash(keys).alias("_hot"))
+    top = F.call_function("approx_top_k", F.col("_hot"), F.lit(min(2 * partitions, 100_000)),
+                          F.lit(min(max(tracked, 16), 1_000_000)))
+    found = present.agg(F.count("*").alias("_all"), top.alias("_top"))
+    listed = found.select("_all", F.explode("_top").alias("_t")).select("_all", "_t.item", "_t.count")
+    return written(listed.where(F.col("count") * partitions > F.col("_all")).select(F.col("item").alias("_hot")), "hot-keys")
 
 
 def _row_salt(frame: DataFrame, salts: int) -> Column:
@@ -57,77 +66,74 @@ def _holds_map(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.MapType, T.VariantType))
 
 
-def spread_sides(facts: DataFrame, lookup: DataFrame, fact_keys: list[str], lookup_keys: list[str],
-                 key_source: DataFrame | None = None, salts: int | None = None) -> tuple[DataFrame, DataFrame]:
+def spread_sides(facts: DataFrame, lookup: DataFrame, fact_keys: list[str], lookup_keys: list[str], hot: DataFrame,
+                 salts: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Add a `_spread` column to both sides, to be joined on together with the keys.
 
-    Fact rows of a heavy key are scattered by a hash of the row over as many slots as there are shuffle
-    partitions, and lookup rows of that key are repeated once per slot; other rows use slot 0. Null keys
-    match nothing and are scattered too. Lookup keys should be unique, so that at most HOT_KEYS lookup
-    rows are repeated. Fact rows alike in every column share a slot; adaptive skew handling, which cuts
-    by size and not by value, splits those.
-
-    The broadcast key list has at most HOT_KEYS rows. It is counted on `key_source`, by default the
-    facts; name the table the facts derive from when computing them twice would be dear.
+    Fact rows of a hot key are scattered by a hash of the row over as many slots as there are shuffle partitions, and
+    lookup rows of that key are repeated once for each slot; other rows use slot 0. Null keys match nothing and are
+    scattered too. Fact rows alike in every column share a slot; adaptive skew handling, which cuts by size and not by
+    value, splits those. The list is broadcast: `hot_keys` bounds it by the number of partitions.
     """
-    salts = salts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = heaviest_keys(facts if key_source is None else key_source, fact_keys)
-    hot_names = [f"_hot_{i}" for i in range(len(fact_keys))]
-    hot = F.broadcast(hot.toDF(*hot_names).withColumn("_is_hot", F.lit(True)))
+    salts = salts or _partitions(facts)
+    marked = F.broadcast(hot.select("_hot").distinct().withColumn("_is_hot", F.lit(True)))
 
     def tagged(frame: DataFrame, keys: list[str]) -> DataFrame:
-        match = reduce(and_, [frame[k] == hot[h] for k, h in zip(keys, hot_names)])
-        return frame.join(hot, match, "left")
+        return frame.withColumn("_hot", _key_hash(keys)).join(marked, "_hot", "left").drop("_hot")
 
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in fact_keys])
-    slot = F.when(F.col("_is_hot") | no_key, F.col("_slot")).otherwise(F.lit(0))
+    slot = F.when(F.col("_is_hot") | _any_null(fact_keys), F.col("_slot")).otherwise(F.lit(0))
     facts = (tagged(facts.withColumn("_slot", _row_salt(facts, salts)), fact_keys)
-             .withColumn(SPREAD, slot).drop("_slot", "_is_hot", *hot_names))
+             .withColumn(SPREAD, slot).drop("_slot", "_is_hot"))
     slots = F.when(F.col("_is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    lookup = (tagged(lookup, lookup_keys)
-              .withColumn(SPREAD, F.explode(slots)).drop("_is_hot", *hot_names))
+    lookup = tagged(lookup, lookup_keys).withColumn(SPREAD, F.explode(slots)).drop("_is_hot")
     return facts, lookup
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, keys: str | list[str], how: str = "inner",
-                limit_bytes: int | None = None, key_source: DataFrame | None = None) -> DataFrame:
-    """Equi-join on shared key names, keeping one copy of each key.
+def _prepared(facts: DataFrame, lookup: DataFrame, fact_keys: list[str], lookup_keys: list[str], how: str,
+              hot: DataFrame | None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The sides to join, and the columns to join on besides the keys. Every join of this module begins here."""
+    if hot is None:
+        return facts, lookup, []
+    if how not in SPREADABLE:
+        raise ValueError(f"a {how!r} join cannot be spread; leave out the hot keys")
+    if how in ("left_semi", "left_anti"):
+        lookup = lookup.select(*lookup_keys).distinct()
+    return *spread_sides(facts, lookup, fact_keys, lookup_keys, hot), [SPREAD]
 
-    `how` is inner, left, left_semi or left_anti: kinds where each fact row belongs to one partition.
-    `limit_bytes` replaces the session's broadcast threshold as the size up to which nothing is spread.
-    """
+
+def lookup_join(facts: DataFrame, lookup: DataFrame, keys: str | list[str], how: str = "inner",
+                hot: DataFrame | None = None) -> DataFrame:
+    """Equi-join on shared key names, keeping one copy of each key; `hot` comes from `hot_keys`."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"unsupported join kind {how!r}")
-    if fits_broadcast(lookup, limit_bytes):
-        return facts.join(lookup, keys, how)
-    if how in ("left_semi", "left_anti"):
-        lookup = lookup.select(*keys).distinct()
-    facts, lookup = spread_sides(facts, lookup, keys, keys, key_source)
-    return facts.join(lookup, [*keys, SPREAD], how).drop(SPREAD)
+    facts, lookup, more = _prepared(facts, lookup, keys, keys, how, hot)
+    return facts.join(lookup, [*keys, *more], how).drop(*more)
 
 
 def join_on_reference(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                      how: str = "inner", limit_bytes: int | None = None) -> DataFrame:
+                      how: str = "inner", hot: DataFrame | None = None) -> DataFrame:
     """Join on an expression, then drop the right-hand key by its frame reference."""
-    if fits_broadcast(right, limit_bytes):
-        return left.join(right, left[left_key] == right[right_key], how).drop(right[right_key])
-    left, right = spread_sides(left, right, [left_key], [right_key])
-    match = (left[left_key] == right[right_key]) & (left[SPREAD] == right[SPREAD])
-    return left.join(right, match, how).drop(right[right_key]).drop(left[SPREAD]).drop(right[SPREAD])
+    left, right, more = _prepared(left, right, [left_key], [right_key], how, hot)
+    match = reduce(and_, [left[a] == right[b] for a, b in [(left_key, right_key), *zip(more, more)]])
+    joined = left.join(right, match, how)
+    if how in ("left_semi", "left_anti"):
+        return joined.drop(*more)
+    for name in more:
+        joined = joined.drop(left[name]).drop(right[name])
+    return joined.drop(right[right_key])
 
 
 def join_on_alias(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                  how: str = "inner", limit_bytes: int | None = None) -> DataFrame:
+                  how: str = "inner", hot: DataFrame | None = None) -> DataFrame:
     """Join two aliased frames, then drop the right-hand key by its qualified name."""
-    if fits_broadcast(right, limit_bytes):
-        match = F.col(f"left.{left_key}") == F.col(f"right.{right_key}")
-        return left.alias("left").join(right.alias("right"), match, how).drop(F.col(f"right.{right_key}"))
-    left, right = spread_sides(left, right, [left_key], [right_key])
-    match = ((F.col(f"left.{left_key}") == F.col(f"right.{right_key}"))
-             & (F.col(f"left.{SPREAD}") == F.col(f"right.{SPREAD}")))
-    return (left.alias("left").join(right.alias("right"), match, how)
-            .drop(F.col(f"right.{right_key}")).drop(F.col(f"left.{SPREAD}")).drop(F.col(f"right.{SPREAD}")))
+    left, right, more = _prepared(left, right, [left_key], [right_key], how, hot)
+    pairs = [(left_key, right_key), *zip(more, more)]
+    match = reduce(and_, [F.col(f"left.{a}") == F.col(f"right.{b}") for a, b in pairs])
+    joined = left.alias("left").join(right.alias("right"), match, how)
+    if how in ("left_semi", "left_anti"):
+        return joined.drop(*more)
+    for name in more:
+        joined = joined.drop(F.col(f"left.{name}")).drop(F.col(f"right.{name}"))
+    return joined.drop(F.col(f"right.{right_key}"))
 
 
 def keys_without_match(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkloom.operators.joins import lookup_join
 from sparkloom.workspace import written
 
-SKETCHES = 4_000
-
 
 def _is_number(frame: DataFrame, name: str) -> bool:
     return isinstance(frame.schema[name].dataType, T.NumericType)
@@ -52,31 +50,52 @@ def profile_basic(frame: DataFrame, columns: list[str] | None = None) -> DataFra
     numbers = [name for name in names if _is_number(frame, name)]
     texts = [name for name in names if name not in numbers]
     halves = [half(part, part is numbers) for part in (numbers, texts) if part]
+    if not halves:
+        return frame.sparkSession.createDataFrame(
+            [], "column string, count bigint, mean double, stddev double, min string, max string")
     return reduce(DataFrame.unionByName, halves)
 
 
 def profile_quantiles(frame: DataFrame, columns: list[str] | None = None,
-                      fractions: tuple[float, ...] = (0.25, 0.5, 0.75), accuracy: int = 10_000) -> DataFrame:
-    """Minimum, chosen quantiles and maximum of every number column in one pass.
+                      fractions: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Minimum, chosen quantiles and maximum of every number column, exactly.
 
-    Quantiles are mergeable sketches whose rank error is at most rows / accuracy: exact up to `accuracy`
-    rows, and of fixed size beyond. At most SKETCHES of them are merged, however many files are read.
-    Columns are named after the percentage, such as `p25`.
+    A quantile is the smallest value that at least this fraction of the values does not exceed; nulls do not count.
+    Equal values of a column are counted first and written once. The counts are sorted by ranges of (column, value);
+    the sum of each range says where a rank falls, and only running sums within ranges are needed to find it, so no
+    column meets in one task. Columns are named after the percentage, such as `p25`. Runs two jobs at once.
     """
     names = [n for n in (columns or frame.columns) if _is_number(frame, n)]
     labels = [f"p{fraction * 100:g}".replace(".", "_") for fraction in fractions]
-
-    def statistics(name: str) -> Column:
-        value = F.col(name).cast("double")
-        sketch = F.percentile_approx(value, list(fractions), accuracy)
-        return F.struct(F.min(value).alias("min"), sketch.alias("q"), F.max(value).alias("max"))
-
-    wide = frame.coalesce(SKETCHES).agg(*[statistics(name).alias(f"s{i}") for i, name in enumerate(names)])
-    rows = F.array(*[F.struct(F.lit(name).alias("column"), F.col(f"s{i}.min").alias("min"),
-                              *[F.get(f"s{i}.q", F.lit(j)).alias(label) for j, label in enumerate(labels)],
-                              F.col(f"s{i}.max").alias("max"))
-                     for i, name in enumerate(names)])
-    return wide.select(F.inline(rows))
+    if not names:
+        return frame.sparkSession.createDataFrame([], ", ".join(
+            ["column string", "min double", *[f"{label} double" for label in labels], "max double"]))
+    pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(f"`{n}`").cast("double").alias("value")) for n in names])
+    counts = frame.select(F.inline(pairs)).groupBy("column", "value").agg(F.count("*").alias("n"))
+    counts = written(counts, "value-counts").where("value IS NOT NULL")
+    ranges = written(counts.repartitionByRange("column", "value").withColumn("part", F.spark_partition_id()), "value-ranges")
+    sums = ranges.groupBy("column", "part").agg(F.sum("n").alias("n"), F.min("value").alias("min"),
+                                                F.max("value").alias("max"))
+    earlier = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("column")  # a row for each range of the column
+    sums = sums.select("column", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+                       F.sum("n").over(whole).alias("total"), F.min("min").over(whole).alias("min"),
+                       F.max("max").over(whole).alias("max"))
+    inside = Window.partitionBy("column", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (ranges.withColumn("upto", F.sum("n").over(inside)).join(sums, ["column", "part"])
+              .withColumn("upto", F.col("upto") + F.col("before")))
+    found = [F.min(F.when(F.col("upto") >= F.ceil(F.lit(fraction) * F.col("total")), F.col("value"))).alias(label)
+             for fraction, label in zip(fractions, labels)]
+    seen = placed.groupBy("column").agg(F.first("min").alias("min"), *found, F.first("max").alias("max"))
+    every = frame.sparkSession.createDataFrame([(n,) for n in names], "column string")
+    return every.join(seen, "column", "left")
+
+
+def profile_summary(frame: DataFrame, columns: list[str] | None = None,
+                    fractions: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """`profile_basic` of number and text columns with the quantiles of number columns beside it."""
+    quantiles = profile_quantiles(frame, columns, fractions).drop("min", "max")
+    return profile_basic(frame, columns).join(quantiles, "column", "left")
 
 
 def rounded_histogram(frame: DataFrame, column: str, digits: int = 1, bucket: str = "bucket") -> DataFrame:
@@ -89,7 +108,7 @@ def modal_values(frame: DataFrame, key: str, value: str) -> DataFrame:
     """Most frequent value per key, all ties kept.
 
     Counts are written once, reduced to each key's peak and matched on (key, count), so no key's values
-    ever sit in one task.
+    ever sit in one task. Runs a job at once.
     """
     counts = written(frame.groupBy(key, value).agg(F.count("*").alias("_n")), "value-counts")
     peaks = counts.groupBy(key).agg(F.max("_n").alias("_n"))

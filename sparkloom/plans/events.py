@@ -14,16 +14,21 @@ PAYLOAD_PARTS = ["before", "after", "source", "op"]
 QUOTE_SCHEMA = "symbol string, date date, open double, high double, low double, close double, volume int"
 
 
-def change_rows(messages: DataFrame, row_schema: T.StructType, charset: str = "UTF-8", value: str = "value") -> DataFrame:
-    """Envelope messages as `before`, `after`, `source` and `op` columns, typed by the declared schema."""
+def change_rows(messages: DataFrame, row_schema: T.StructType, charset: str = "UTF-8", value: str = "value",
+                keep: tuple[str, ...] = ()) -> DataFrame:
+    """Envelope messages as `before`, `after`, `source` and `op` columns, typed by the declared schema.
+
+    `keep` names columns of the message, such as its key, offset or timestamp, that stay in front.
+    """
     event = F.from_json(payload_text(value, charset), envelope_schema(row_schema))
-    return messages.select(event.alias("_event")).select("_event.payload.*")
+    return messages.select(*keep, event.alias("_event")).select(*keep, "_event.payload.*")
 
 
-def change_parts_text(messages: DataFrame, charset: str = "UTF-8", value: str = "value") -> DataFrame:
-    """The four payload parts as JSON text, for rows whose schema is not known."""
-    payload = messages.select(F.json_tuple(payload_text(value, charset), "payload").alias("payload"))
-    return payload.select(F.json_tuple("payload", *PAYLOAD_PARTS).alias(*PAYLOAD_PARTS))
+def change_parts_text(messages: DataFrame, charset: str = "UTF-8", value: str = "value",
+                      keep: tuple[str, ...] = ()) -> DataFrame:
+    """The four payload parts as JSON text, for rows whose schema is not known; `keep` as in `change_rows`."""
+    payload = messages.select(*keep, F.json_tuple(payload_text(value, charset), "payload").alias("payload"))
+    return payload.select(*keep, F.json_tuple("payload", *PAYLOAD_PARTS).alias(*PAYLOAD_PARTS))
 
 
 def changed_to(changes: DataFrame, op: str | None = None) -> DataFrame:
@@ -44,6 +49,7 @@ def json_tour(frame: DataFrame, column: str, field: str, sample: str, keep: tupl
         F.to_json("_map").alias("as_text"), F.schema_of_json(F.lit(sample)).alias("sample_schema"))
 
 
-def quotes(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Quote messages as typed columns."""
-    return messages.select(F.from_json(F.col(value).cast("string"), QUOTE_SCHEMA).alias("_q")).select("_q.*")
+def quotes(messages: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Quote messages as typed columns; `keep` as in `change_rows`."""
+    read = messages.select(*keep, F.from_json(F.col(value).cast("string"), QUOTE_SCHEMA).alias("_q"))
+    return read.select(*keep, "_q.*")

@@ -14,9 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions.scalars import ratio
-from sparkloom.operators.joins import fits_broadcast, lookup_join
+from sparkloom.operators.joins import lookup_join
 from sparkloom.operators.summaries import rounded_histogram
-from sparkloom.workspace import written
 
 # Codes of programme classes that count as commercial.
 COMMERCIAL_CODES = ["COM", "PRC", "PGI", "PRO", "PSA", "MAG", "LOC", "SPO", "MER", "SOL"]
@@ -31,36 +30,20 @@ def primary_identifiers(identifiers: DataFrame) -> DataFrame:
 
 
 def full_log(facts: DataFrame, identifiers: DataFrame, classes: DataFrame, categories: DataFrame | None = None,
-             channels: DataFrame | None = None, limit_bytes: int | None = None) -> DataFrame:
+             channels: DataFrame | None = None) -> DataFrame:
     """Durations of primary services with their channel (inner), class and category (left) descriptions.
 
-    Facts stream through the joins with descriptive tables that can be broadcast, filtering ones first.
-    If a larger table remains, durations are summed per combination of what is known so far before the
-    facts are shuffled for it. Durations only ever enter sums, so no result changes, and a combination
-    with a third of all facts becomes one row.
+    One row for each fact, whatever the sizes of the other tables; filtering joins come first. The sums over it add
+    up within each task before anything is shuffled for them.
     """
-    primary = primary_identifiers(identifiers)
-    if channels is not None and not fits_broadcast(primary, limit_bytes):
-        primary = written(lookup_join(primary, channels, "channel_id", "inner", limit_bytes), "services")
-        channels = None
-    steps = [(primary, "service_id", "inner"), (channels, "channel_id", "inner"),
-             (classes, "class_id", "left"), (categories, "category_id", "left")]
-    steps = [step for step in steps if step[0] is not None]
-    keys = [key for _, key, _ in steps if key != "channel_id"]
-    small = [step for step in steps if fits_broadcast(step[0], limit_bytes)]
-    large = [step for step in steps if step not in small]
-
-    log = facts.select(*keys, "duration")
-    for lookup, key, how in small:
-        log = lookup_join(log, lookup, key, how, limit_bytes)
-    if large:
-        used = [key for _, key, _ in small if key in keys]
-        known = [name for name in log.columns if name not in ("duration", *used)]
-        sums = written(log.groupBy(*known).agg(F.sum("duration").alias("duration")), "log-sums")
-        log = sums
-        for lookup, key, how in large:
-            log = lookup_join(log, lookup, key, how, limit_bytes, sums)
-    return log.drop(*keys)
+    log = lookup_join(facts, primary_identifiers(identifiers), "service_id", "inner")
+    keys = ["service_id"]
+    for lookup, key, how in ((channels, "channel_id", "inner"), (classes, "class_id", "left"),
+                             (categories, "category_id", "left")):
+        if lookup is not None:
+            log = lookup_join(log, lookup, key, how)
+            keys.append(key)
+    return log.drop(*[key for key in keys if key != "channel_id"])
 
 
 def duration_by(log: DataFrame, *keys: str) -> DataFrame:

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.operators.balance import deal_small
-
 VOWELS = ["a", "e", "i", "o", "u"]
 
 
@@ -44,8 +42,7 @@ def initials(text: str | Column) -> Column:
 
 def words(texts: DataFrame, column: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per cleaned word."""
-    dealt = deal_small(texts.select(*keep, column))
-    return dealt.select(*keep, F.explode(cleaned_words(column)).alias("word"))
+    return texts.select(*keep, F.explode(cleaned_words(column)).alias("word"))
 
 
 def _count(frame: DataFrame, *keys) -> DataFrame:
@@ -78,8 +75,7 @@ def first_words_once(texts: DataFrame, k: int = 5, column: str = "text") -> Data
 
 
 def _letters(texts: DataFrame, column: str) -> DataFrame:
-    dealt = deal_small(texts.select(column))
-    letter = dealt.select(F.explode(initials(column)).alias("letter")).select(F.lower("letter").alias("letter"))
+    letter = texts.select(F.explode(initials(column)).alias("letter")).select(F.lower("letter").alias("letter"))
     return letter.where(F.col("letter").rlike("[a-z]"))
 
 
@@ -113,6 +109,7 @@ def filter_words(word_table: DataFrame, exclude: list[str] | None = None, longer
     return word_table
 
 
-def part_count(line_table: DataFrame, column: str = "value") -> DataFrame:
-    """Uses of each raw space-separated part, empty parts included."""
-    return _count(line_table.select(F.explode(tokens(column)).alias("word")), "word")
+def part_count(texts: DataFrame, column: str = "value") -> DataFrame:
+    """Uses of each raw part between spaces and line ends, empty parts included; lines or whole documents alike."""
+    unix = F.replace(F.replace(column, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return _count(texts.select(F.explode(tokens(F.translate(unix, "\n", " "))).alias("word")), "word")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, DataFrameWriter
 
+NULL_MARK = "\\N"
+
 
 def _writer(frame: DataFrame, overwrite: bool, files: int | None) -> DataFrameWriter:
     if files:
@@ -12,10 +14,14 @@ def _writer(frame: DataFrame, overwrite: bool, files: int | None) -> DataFrameWr
 
 
 def write_delimited(frame: DataFrame, path: str, overwrite: bool = False, files: int | None = None,
-                    sep: str = ",", quote: str = '"', header: bool = True) -> None:
-    """CSV directory; fails if present unless `overwrite`."""
+                    sep: str = ",", quote: str = '"', header: bool = True, null_mark: str = NULL_MARK) -> None:
+    """CSV directory; fails if present unless `overwrite`.
+
+    A null is written as `null_mark`, an empty string as two quotes, so that both can be told apart when read back;
+    a text equal to the mark is read back as null. Values with line breaks are quoted and need a multi-line reader.
+    """
     (_writer(frame, overwrite, files).option("sep", sep).option("quote", quote).option("header", header)
-     .csv(path))
+     .option("nullValue", null_mark).option("emptyValue", quote * 2).option("escape", quote).csv(path))
 
 
 def write_lines(frame: DataFrame, path: str, overwrite: bool = False, files: int | None = None) -> None:

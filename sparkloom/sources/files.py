@@ -15,12 +15,17 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def read_delimited(spark: SparkSession, path: str | list[str], schema: Schema | None = None, sep: str = ",",
                    quote: str = '"', header: bool = True, infer: bool = False,
-                   timestamp_format: str | None = None, date_format: str | None = None) -> DataFrame:
+                   timestamp_format: str | None = None, date_format: str | None = None, null_mark: str = "\\N",
+                   multi_line: bool = False) -> DataFrame:
     """Delimited file or directory of part files.
 
-    Without a schema every column is a string, unless `infer` asks for the extra typing pass.
+    Without a schema every column is a string, unless `infer` asks for the extra typing pass. A value that is
+    `null_mark` or missing is null, a quoted empty one is an empty string. `multi_line` allows line breaks within
+    quoted values; such a file cannot be split, so it is off unless asked for.
     """
-    reader = spark.read.option("sep", sep).option("quote", quote).option("header", header)
+    reader = (spark.read.option("sep", sep).option("quote", quote).option("header", header)
+              .option("nullValue", null_mark).option("emptyValue", "").option("escape", quote)
+              .option("multiLine", multi_line))
     if timestamp_format:
         reader = reader.option("timestampFormat", timestamp_format)
     if date_format:

@@ -1,4 +1,4 @@
-"""Price quotes kept as one Parquet partition per symbol, without duplicates."""
+"""Price quotes kept as Parquet partitions of date and symbol, without duplicates."""
 
 from __future__ import annotations
 
@@ -7,37 +7,47 @@ from pyspark.sql import functions as F
 
 from sparkloom.plans.events import QUOTE_SCHEMA
 from sparkloom.streaming.runner import for_each_batch
+from sparkloom.workspace import written
 
-PRUNED_SYMBOLS = 1_000
+
+def _placed(quotes: DataFrame) -> DataFrame:
+    """Quotes with the names of their folders, which are never empty or null; the symbol stays a column."""
+    return quotes.withColumns({
+        "quote_day": F.concat(F.lit("d"), F.coalesce(F.col("date").cast("string"), F.lit(""))),
+        "quote_symbol": F.concat(F.lit("s"), F.coalesce("symbol", F.lit("")))})
 
 
 def open_quotes(spark: SparkSession, path: str) -> None:
     """Create the table folder if it is not there; an existing table is left as it is."""
-    spark.createDataFrame([], QUOTE_SCHEMA).write.mode("append").partitionBy("symbol").parquet(path)
+    _write(spark.createDataFrame([], QUOTE_SCHEMA), path)
+
+
+def _write(quotes: DataFrame, path: str) -> None:
+    (_placed(quotes).hint("rebalance", "quote_day", "quote_symbol")
+     .write.mode("append").partitionBy("quote_day", "quote_symbol").parquet(path))
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{QUOTE_SCHEMA}, quote_day string, quote_symbol string").parquet(path)
 
 
 def read_quotes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(QUOTE_SCHEMA).parquet(path)
+    return _stored(spark, path).drop("quote_day", "quote_symbol")
 
 
 def add_quotes(new: DataFrame, path: str) -> None:
     """Append the quotes that the table does not hold yet.
 
-    Existing rows are neither rewritten nor read for untouched symbols, and repeating a batch adds
-    nothing. Copies are dropped before rows are compared, so a heavily repeated quote moves once; Spark
-    splits the write of a symbol that would make an oversized task.
+    Existing rows are not rewritten, and repeating a batch adds nothing. Only folders of a date and symbol of the
+    batch are compared: their names are joined with the table's folder columns, which lets Spark leave out the files
+    of all others. Copies are dropped before rows are compared, so a heavily repeated quote moves once; Spark splits
+    the write of a folder that would make an oversized task. The batch is written once to the shared folder.
     """
     spark = new.sparkSession
-    fresh = new.distinct().persist()
-    try:
-        existing = read_quotes(spark, path)
-        symbols = [row.symbol for row in fresh.select("symbol").distinct().take(PRUNED_SYMBOLS + 1)]
-        if len(symbols) <= PRUNED_SYMBOLS:
-            existing = existing.where(F.col("symbol").isin(symbols) | F.col("symbol").isNull())
-        (fresh.select(existing.columns).subtract(existing).hint("rebalance", "symbol")
-         .write.mode("append").partitionBy("symbol").parquet(path))
-    finally:
-        fresh.unpersist()
+    fresh = written(new.distinct(), "quotes")
+    touched = _placed(fresh).where(F.col("quote_day") >= "d").select("quote_day", "quote_symbol").distinct()
+    existing = _stored(spark, path).join(touched, ["quote_day", "quote_symbol"], "left_semi")
+    _write(fresh.subtract(existing.select(*fresh.columns)), path)
 
 
 def stream_quotes(quotes: DataFrame, path: str, checkpoint: str, **timing) -> None:
