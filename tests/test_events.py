@@ -4,26 +4,25 @@ import json
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkloom.functions.messages import delimited_fields, payload_text
+from sparkloom.functions.messages import array_rows, delimited_fields, payload_text
 from sparkloom.plans import events as ev
 from tests.helpers import bag, rows
 
-APP = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("shop_id", T.IntegerType()),
-                    T.StructField("app_name", T.StringType())])
+BOOK = T.StructType().add("isbn", "integer").add("shelf", "integer").add("title", "string")
 
 
 def messages(spark):
     def event(op, before, after):
         return json.dumps({"schema": {}, "payload": {"before": before, "after": after, "source": {"db": "d"}, "op": op}})
 
-    texts = [event("r", None, {"id": 1, "shop_id": 9, "app_name": "é"}),
-             event("u", {"id": 1, "shop_id": 9}, {"id": 1, "shop_id": 8, "app_name": "y"}),
-             event("d", {"id": 1, "shop_id": 8}, None), "not json"]
+    texts = [event("r", None, {"isbn": 1, "shelf": 9, "title": "é"}),
+             event("u", {"isbn": 1, "shelf": 9}, {"isbn": 1, "shelf": 8, "title": "y"}),
+             event("d", {"isbn": 1, "shelf": 8}, None), "not json"]
     return spark.createDataFrame([(bytearray(t, "utf-8"),) for t in texts], "value binary")
 
 
 def test_envelope(spark):
-    changes = ev.change_rows(messages(spark), APP)
+    changes = ev.change_rows(messages(spark), BOOK)
     assert changes.columns == ["before", "after", "source", "op"]
     assert bag(ev.changed_to(changes, "r")) == {("r", 1, 9, "é"): 1}
     assert bag(ev.changed_to(changes)) == {("r", 1, 9, "é"): 1, ("u", 1, 8, "y"): 1, ("d", None, None, None): 1,
@@ -32,7 +31,7 @@ def test_envelope(spark):
 
 def test_envelope_as_text(spark):
     parts = rows(ev.change_parts_text(messages(spark)))
-    assert parts[2] == ('{"id":1,"shop_id":8}', None, '{"db":"d"}', "d")
+    assert parts[2] == ('{"isbn":1,"shelf":8}', None, '{"db":"d"}', "d")
     assert parts[3] == (None, None, None, None)
 
 
@@ -55,9 +54,9 @@ def test_delimited_messages(spark):
 
 
 def test_json_tour(spark):
-    frame = spark.createDataFrame([('{"Zip":704,"City":"P"}',), ("{}",)], "value string")
-    first, second = rows(ev.json_tour(frame, "value", "Zip", '{"Zip":704,"City":"P"}'))
-    assert first == ("704", "704", "704", 704, '{"Zip":"704","City":"P"}', "STRUCT<City: STRING, Zip: BIGINT>")
+    frame = spark.createDataFrame([('{"Level":704,"Area":"P"}',), ("{}",)], "value string")
+    first, second = rows(ev.json_tour(frame, "value", "Level", '{"Level":704,"Area":"P"}'))
+    assert first == ("704", "704", "704", 704, '{"Level":"704","Area":"P"}', "STRUCT<Area: STRING, Level: BIGINT>")
     assert second[:4] == (None, None, None, None)
 
 
@@ -65,3 +64,22 @@ def test_quotes(spark):
     text = '{"symbol":"A","date":"2024-01-02","open":1.0,"high":2.0,"low":0.5,"close":1.5,"volume":7}'
     frame = spark.createDataFrame([(text,)], "value string")
     assert rows(ev.quotes(frame)) == [("A", datetime.date(2024, 1, 2), 1.0, 2.0, 0.5, 1.5, 7)]
+
+
+def test_columns_beside_the_message_stay(spark):
+    frame = messages(spark).withColumn("offset", F.monotonically_increasing_id())
+    changes = ev.change_rows(frame, BOOK, keep=("offset",))
+    assert changes.columns == ["offset", "before", "after", "source", "op"]
+    assert changes.select("offset").distinct().count() == 4
+    assert ev.change_parts_text(frame, keep=("offset",)).columns == ["offset", "before", "after", "source", "op"]
+    assert ev.quotes(frame, keep=("offset",)).columns[:2] == ["offset", "symbol"]
+    schema = T.StructType.fromDDL("n int, t string")
+    text = spark.createDataFrame([("k", "1,x"), ("m", "2")], "key string, value string")
+    assert rows(delimited_fields(text, schema, keep=("key",))) == [("k", 1, "x")]
+
+
+def test_one_row_per_entry_of_a_message(spark):
+    texts = ['{"who":"a","d":{"list":[{"x":1,"y":"p"},{"x":2}]}}', '{"who":"b","d":{"list":[]}}', '{"who":"c"}', "bad"]
+    frame = spark.createDataFrame([(k, bytearray(t, "utf-8")) for k, t in enumerate(texts)], "no int, value binary")
+    got = array_rows(frame, "who string, d struct<list: array<struct<x: int, y: string>>>", "d.list", fields=("who",), keep=("no",))
+    assert bag(got) == {(0, "a", 1, "p"): 1, (0, "a", 2, None): 1}

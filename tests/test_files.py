@@ -28,9 +28,27 @@ def test_inferred_and_untyped(spark, tmp_path):
 
 
 def test_custom_quote(spark, tmp_path):
-    (tmp_path / "sample.csv").write_text('Item,Quantity,Price\n$Banana, organic$,1,0.99\nPear,7,1.24\n')
-    read = source.read_delimited(spark, str(tmp_path), "Item string, Quantity int, Price double", quote="$")
-    assert rows(read) == [("Banana, organic", 1, 0.99), ("Pear", 7, 1.24)]
+    (tmp_path / "tools.csv").write_text('tool,stock,weight\n$Hammer, small$,4,0.5\nSaw,2,1.75\n')
+    read = source.read_delimited(spark, str(tmp_path), "tool string, stock int, weight double", quote="$")
+    assert rows(read) == [("Hammer, small", 4, 0.5), ("Saw", 2, 1.75)]
+
+
+@pytest.mark.parametrize("sep, quote", [(",", '"'), ("|", "$")])
+def test_hard_values_are_read_back(spark, tmp_path, sep, quote):
+    values = [("a\nb", 1), ("", 2), (None, 3), ('say "x", $5 | ok', 4), (" spaced ", None), ("back\\slash", 6), ("é\r\n", 7)]
+    frame = spark.createDataFrame(values, "t string, n int")
+    sink.write_delimited(frame, str(tmp_path / "out"), sep=sep, quote=quote)
+    read = source.read_delimited(spark, str(tmp_path / "out"), frame.schema, sep=sep, quote=quote, multi_line=True)
+    got = bag(read)
+    assert {(t.strip().replace("\r\n", "\n") if t else t, n) for t, n in got} == {
+        (t.strip().replace("\r\n", "\n") if t else t, n) for t, n in values}
+    missing = source.read_delimited(spark, str(tmp_path / "out"), frame.schema, sep=sep, quote=quote, multi_line=True).where("t IS NULL")
+    assert rows(missing) == [(None, 3)]
+
+
+def test_missing_values_of_plain_files_are_null(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b\n1,\n,2\n")
+    assert bag(source.read_delimited(spark, str(tmp_path / "x.csv"))) == {("1", None): 1, (None, "2"): 1}
 
 
 def test_many_text_files(spark, tmp_path):
@@ -60,11 +78,11 @@ def test_partitioned_parquet_is_pruned(spark, tmp_path):
 
 
 def test_managed_table(spark):
-    employees = spark.createDataFrame([(1, "James", 30, "M"), (2, "Ann", 40, "F")], "id int, name string, age int, gender string")
+    ships = spark.createDataFrame([(7, "Aurora", 120.5), (9, "Boreas", 98.0)], "code int, ship string, metres double")
     for _ in range(2):
-        sink.write_table(employees, "employee")
-    assert bag(source.read_table(spark, "employee")) == bag(employees)
-    spark.sql("DROP TABLE employee")
+        sink.write_table(ships, "ships")
+    assert bag(source.read_table(spark, "ships")) == bag(ships)
+    spark.sql("DROP TABLE ships")
 
 
 def test_relational_options():
@@ -90,6 +108,18 @@ def test_scratch_folders(spark):
     assert workspace.new_folder(spark, "x") != workspace.new_folder(spark, "x")
     frame = spark.range(3)
     assert bag(workspace.written(frame, "r")) == bag(frame)
+    assert workspace.new_folder(spark, "x").startswith(workspace.application_folder(spark))
+
+
+def test_folder_without_a_setting(spark):
+    class Conf:
+        def get(self, name, default=None):
+            return {"spark.sql.warehouse.dir": "file:/w/"}.get(name, default)
+
+    class Session:
+        conf = Conf()
+
+    assert workspace.shared_root(Session()) == "file:/w/_sparkloom_work"
 
 
 def test_session_defaults(spark):

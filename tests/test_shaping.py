@@ -68,6 +68,30 @@ def test_quantiles(spark):
     assert got == [("v", 1.0, 100.0, 500.0, 900.0, 1000.0)]
 
 
+def test_quantiles_are_exact(spark):
+    frame = spark.range(20_011).select(
+        (F.col("id") * 7919 % 20_011).alias("even"), F.when(F.col("id") % 3 == 0, 5.5).otherwise(F.col("id") / 8).alias("hot"),
+        F.when(F.col("id") % 2 == 0, F.col("id")).alias("half"), F.lit(None).cast("int").alias("none"))
+    fractions = (0.01, 0.25, 0.5, 0.999, 1.0)
+    got = {r.column: tuple(r)[1:] for r in summaries.profile_quantiles(frame, fractions=fractions).collect()}
+    for name in ("even", "hot", "half"):
+        values = sorted(float(r[0]) for r in frame.select(name).collect() if r[0] is not None)
+        want = [values[max(0, -(-int(f * 1000) * len(values) // 1000) - 1)] for f in fractions]
+        assert got[name] == (values[0], *want, values[-1])
+    assert got["none"] == (None,) * 7
+
+
+def test_profiles_of_dates_only(spark):
+    frame = spark.sql("SELECT date'2024-01-02' AS d")
+    assert rows(summaries.profile_basic(frame)) == [] and rows(summaries.profile_quantiles(frame)) == []
+
+
+def test_summary_of_all_columns(spark):
+    frame = spark.createDataFrame([(1, "b"), (3, "a"), (None, None)], "n int, t string")
+    got = {r.column: r for r in summaries.profile_summary(frame).collect()}
+    assert (got["n"]["count"], got["n"].p50, got["t"]["min"], got["t"].p50) == (2, 1.0, "a", None)
+
+
 def test_profile_reads_each_column_once(spark, tables):
     shown = plan(summaries.profile_basic(spark.read.parquet(f"{tables}/lineitem.parquet"), ["l_quantity", "l_returnflag"]))
     assert "ReadSchema: struct<l_quantity:double>" in shown and "ReadSchema: struct<l_returnflag:string>" in shown

@@ -1,5 +1,6 @@
 import pytest
 
+from sparkloom.bindings.star_queries import QUERIES
 from sparkloom.plans import star
 from tests.helpers import bag, plan, rows
 
@@ -19,20 +20,18 @@ def parts(spark):
     return facts, identifiers, classes, categories, channels
 
 
-def log(parts, channels=False, categories=False, limit=None):
+def log(parts, channels=False, categories=False):
     facts, identifiers, classes, cats, chans = parts
-    return star.full_log(facts, identifiers, classes, cats if categories else None, chans if channels else None, limit)
+    return star.full_log(facts, identifiers, classes, cats if categories else None, chans if channels else None)
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_duration_by_class(parts, limit):
-    assert bag(star.duration_by_class(log(parts, limit=limit))) == {
+def test_duration_by_class(parts):
+    assert bag(star.duration_by_class(log(parts))) == {
         ("COM ", "Ads", 80): 1, ("NEW", "News", 40): 1, ("PRC", "Promo", 30): 1, (None, None, 7): 1, ("DOC", "Docs", 0): 1}
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_commercial_ratio(parts, limit):
-    shares = star.commercial_ratio(log(parts, limit=limit), ["COM"])
+def test_commercial_ratio(parts):
+    shares = star.commercial_ratio(log(parts), ["COM"])
     assert rows(shares)[0] == ("COM ", "Ads", 80, 80, 1.0)
     assert bag(shares)[(None, None, 0, 7, 0.0)] == 1
     assert bag(shares)[("DOC", "Docs", 0, 0, None)] == 1
@@ -40,15 +39,13 @@ def test_commercial_ratio(parts, limit):
     assert bag(star.filled_ratios(shares))[("DOC", "Docs", 0, 0, 0.0)] == 1
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_channel_ratio_drops_unnamed_channels(parts, limit):
-    got = bag(star.channel_ratio(log(parts, channels=True, limit=limit), ["COM"]))
+def test_channel_ratio_drops_unnamed_channels(parts):
+    got = bag(star.channel_ratio(log(parts, channels=True), ["COM"]))
     assert got == {(7, "seven", 60, 137, 60 / 137): 1, (9, "nine", 0, 0, 0.0): 1}
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_weight_of_partial_code(parts, limit):
-    got = bag(star.channel_ratio(log(parts, channels=True, limit=limit), ["COM"], ["PRC"]))
+def test_weight_of_partial_code(parts):
+    got = bag(star.channel_ratio(log(parts, channels=True), ["COM"], ["PRC"]))
     assert got == {(7, "seven", 82.5, 137, 82.5 / 137): 1, (9, "nine", 0.0, 0, 0.0): 1}
 
 
@@ -64,29 +61,28 @@ def test_listed_codes(parts):
     assert weighted[(7, "seven", 82.5, 137, 82.5 / 137)] == 1
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_histogram_counts_unknown_ratio_as_zero(parts, limit):
-    shares = star.commercial_share(log(parts, channels=True, limit=limit), ["channel_id", "channel_name"], ["COM"])
+def test_histogram_counts_unknown_ratio_as_zero(parts):
+    shares = star.commercial_share(log(parts, channels=True), ["channel_id", "channel_name"], ["COM"])
     assert rows(star.ratio_histogram(shares)) == [(0.0, 1), (0.4, 1)]
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_unknown_category_is_kept(parts, limit):
-    got = bag(star.duration_by(log(parts, categories=True, limit=limit), "category_name"))
+def test_unknown_category_is_kept(parts):
+    got = bag(star.duration_by(log(parts, categories=True), "category_name"))
     assert got == {("live", 107): 1, ("taped", 50): 1, (None, 0): 1}
 
 
-def test_small_tables_are_broadcast(parts):
-    shown = plan(star.duration_by_class(log(parts)))
+def test_small_tables_are_broadcast(spark, tables):
+    shown = plan(QUERIES["star_duration_by_class"](spark, tables))
     assert shown.count("BroadcastHashJoin") >= 2 and "CartesianProduct" not in shown
 
 
-def test_mix_of_small_and_large_tables(parts, monkeypatch):
-    """Only the categories count as large: the other joins come first, then sums, then the large join."""
-    plain = bag(star.duration_by(log(parts, categories=True, channels=True), "class_code", "channel_name", "category_name"))
-    categories = parts[3]
-    fits = lambda frame, limit=None: frame is not categories
-    monkeypatch.setattr(star, "fits_broadcast", fits)
-    monkeypatch.setattr("sparkloom.operators.joins.fits_broadcast", fits)
-    mixed = star.duration_by(log(parts, categories=True, channels=True), "class_code", "channel_name", "category_name")
-    assert bag(mixed) == plain and "_spread" in plan(mixed)
+def test_one_row_per_fact(spark, parts):
+    """Whether or not lookups may be broadcast."""
+    plain = bag(log(parts, categories=True, channels=True).drop("channel_id"))
+    assert sum(plain.values()) == 6
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert bag(log(parts, categories=True, channels=True).drop("channel_id")) == plain
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -9,7 +9,7 @@ from sparkloom.plans.text import part_count
 from sparkloom.sources.files import stream_lines
 from sparkloom.streaming import quotes, runner, word_counts
 from sparkloom.streaming.keyed import CLICK_SCHEMA, KeyedTable, click_rows, newest
-from tests.helpers import bag, rows
+from tests.helpers import bag, plan, rows
 
 
 @pytest.fixture
@@ -49,6 +49,8 @@ def test_per_batch_and_running_counts_differ(spark, place):
         (0, "a", 2): 1, (0, "b", 1): 1, (0, "", 1): 1, (1, "a", 1): 1, (1, "c", 1): 1}
     total = {("a", 3): 1, ("b", 1): 1, ("", 1): 1, ("c", 1): 1}
     assert bag(word_counts.read_running(spark, path("run"))) == total
+    word_counts.fold_running(spark, path("run"), path("folded"))
+    assert bag(word_counts.read_running(spark, path("folded"))) == total
     assert bag(word_counts.read_last_snapshot(spark, path("all"))) == total
     assert bag(part_count(spark.read.text(path("in")))) == total
     changed = spark.read.parquet(path("run") + "/batch_id=1")
@@ -98,22 +100,42 @@ def test_keyed_upsert_of_clicks(spark, place):
     runner.for_each_batch(stream, table.put, path("cp"))
     got = {r.row_key: r.asDict(recursive=True) for r in table.read(spark).collect()}
     assert sorted(got) == ["click1", "click2"]
-    assert got["click1"]["clickinfo"] == {"studentid": "s9", "url": "u9", "time": "t0"}
+    assert got["click1"]["clickinfo"] == {"studentid": "s1", "url": "u2", "time": "t3"}
     assert got["click2"]["iteminfo"] == {"itemtype": "pen", "quantity": "1"}
 
 
 def test_replay_and_compaction(spark, tmp_path):
     table = KeyedTable(str(tmp_path / "t"), "k", ("v",))
     first = spark.createDataFrame([("a", 1), ("a", 3), ("b", 1)], "k string, v int")
+    last = spark.createDataFrame([("a", 2), ("c", 1)], "k string, v int")
     table.put(first, 0)
-    table.put(spark.createDataFrame([("a", 2)], "k string, v int"), 1)
+    table.put(last, 1)
     table.put(first, 0)
-    expected = {("a", 2): 1, ("b", 1): 1}
+    expected = {("a", 3): 1, ("b", 1): 1, ("c", 1): 1}
     assert bag(table.read(spark)) == expected
     compact = table.compact(spark, str(tmp_path / "t2"))
     assert bag(compact.read(spark)) == expected
-    compact.put(spark.createDataFrame([("b", 0)], "k string, v int"), 2)
-    assert bag(compact.read(spark)) == {("a", 2): 1, ("b", 0): 1}
+    compact.put(last, 1)  # as Spark replays the last batch after a crash
+    assert bag(compact.read(spark)) == expected
+    again = compact.compact(spark, str(tmp_path / "t3"))
+    again.put(spark.createDataFrame([("b", 0), ("c", 9)], "k string, v int"), 2)
+    assert bag(again.read(spark)) == {("a", 3): 1, ("b", 1): 1, ("c", 9): 1}
+
+
+def test_cut_into_batches_does_not_matter(spark, tmp_path):
+    rows_ = [("a", 5, "x"), ("a", 1, "y"), ("b", 2, "z"), ("b", 7, "w")]
+    for name, cuts in (("one", [rows_]), ("two", [rows_[:1], rows_[1:]]), ("four", [[r] for r in reversed(rows_)])):
+        table = KeyedTable(str(tmp_path / name), "k", ("t",))
+        for batch_id, batch in enumerate(cuts):
+            table.put(spark.createDataFrame(batch, "k string, t int, v string"), batch_id)
+        assert bag(table.read(spark)) == {("a", 5, "x"): 1, ("b", 7, "w"): 1}
+
+
+def test_table_without_batches(spark, tmp_path):
+    table = KeyedTable(str(tmp_path / "none"), "k", ("v",))
+    assert rows(table.read(spark, "k string, v int")) == []
+    table.put(spark.createDataFrame([("a", 1)], "k string, v int"), 0)
+    assert rows(table.read(spark, "k string, v int")) == [("a", 1)]
 
 
 def test_newest(spark):
@@ -136,13 +158,30 @@ def test_quote_merge(spark, tmp_path):
     assert set(columns) == {"symbol", "date", "open", "high", "low", "close", "volume"}
 
 
-def test_quote_merge_beyond_pruning_limit(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(quotes, "PRUNED_SYMBOLS", 1)
+def test_empty_and_null_symbols_are_stored_once(spark, tmp_path):
     path = str(tmp_path / "quotes")
     quotes.open_quotes(spark, path)
-    frame = spark.range(6).select(
-        F.concat(F.lit("s"), F.col("id") % 3).alias("symbol"), F.lit(None).cast("date").alias("date"),
+    frame = spark.createDataFrame(
+        [("", None, 1), (None, None, 1), ("", "2024-01-02", 1), (None, "2024-01-02", 1), ("a/b c", "2024-01-02", 1)],
+        "symbol string, d string, volume int").select(
+        "symbol", F.col("d").cast("date").alias("date"),
+        *[F.lit(1.0).alias(c) for c in ("open", "high", "low", "close")], "volume")
+    for _ in range(3):
+        quotes.add_quotes(frame, path)
+    assert bag(quotes.read_quotes(spark, path).select(*frame.columns)) == bag(frame)
+
+
+def test_only_touched_folders_are_compared(spark, tmp_path):
+    stored = str(tmp_path / "quotes")
+    quotes.open_quotes(spark, stored)
+    frame = spark.range(60).select(
+        F.concat(F.lit("s"), F.col("id") % 3).alias("symbol"), F.date_add(F.lit("2024-01-01").cast("date"), (
+            F.col("id") % 10).cast("int")).alias("date"),
         *[F.lit(1.0).alias(c) for c in ("open", "high", "low", "close")], F.col("id").cast("int").alias("volume"))
     for _ in range(2):
-        quotes.add_quotes(frame, path)
-    assert rows(quotes.read_quotes(spark, path).agg(F.count("*"))) == [(6,)]
+        quotes.add_quotes(frame, stored)
+    assert quotes.read_quotes(spark, stored).count() == 60
+    touched = frame.limit(1).select(F.concat(F.lit("d"), F.col("date").cast("string")).alias("quote_day"),
+                                    F.concat(F.lit("s"), "symbol").alias("quote_symbol")).where("quote_day >= 'd'")
+    joined = quotes._stored(spark, stored).join(touched, ["quote_day", "quote_symbol"], "left_semi")
+    assert "dynamicpruning" in plan(joined)

@@ -2,7 +2,6 @@ import random
 import re
 from collections import Counter
 
-from sparkloom.operators import balance
 from sparkloom.plans import text
 from tests.helpers import bag, plan, rows
 
@@ -75,14 +74,3 @@ def test_against_brute_force(spark):
         Counter(c for c in first if re.search("[a-z]", c)).items())
     assert Counter(r.value for r in text.lines(frame_).collect()) == Counter(lines)
     assert bag(text.part_count(text.lines(frame_))) == Counter(Counter(parts).items())
-
-
-def test_only_small_inputs_are_dealt(spark, tables, monkeypatch):
-    documents = spark.read.parquet(f"{tables}/documents.parquet")
-    assert "RoundRobinPartitioning" not in plan(text.words(documents))
-    monkeypatch.setattr(balance, "SMALLEST", 1)
-    dealt = text.words(documents)
-    assert "RoundRobinPartitioning" in plan(dealt)
-    monkeypatch.setattr(balance, "LARGEST", 2)
-    assert "RoundRobinPartitioning" not in plan(text.words(documents))
-    assert bag(dealt) == bag(text.words(documents))
