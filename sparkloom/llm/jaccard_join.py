@@ -263,24 +263,18 @@ def _could_link(similarity: Similarity, left: str, right: str) -> Column:
     """Whether sizes, places in the order and parity bitmaps leave room for a link (exact bounds)."""
     percent = similarity.percent
     n, m, i, j = (F.col(f"{side}.{name}") for name in ("n", "i") for side in (left, right))
+    # |A xor B| = n + m - 2 shared is at least the number of bits that differ.
+    apart = functools.reduce(Column.__add__, [F.bit_count(F.col(f"{left}.b{k}").bitwiseXOR(F.col(f"{right}.b{k}")))
+                                              for k in range(BITMAP)])
     return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
-            & ((100 + percent) * F.least(n - i, m - j) >= percent * (n + m)))
+            & ((100 + percent) * F.least(n - i, m - j) >= percent * (n + m))
+            & ((100 + percent) * (n + m - apart) >= 2 * percent * (n + m)))
 
 
-def _checked(pairs: DataFrame, sets: DataFrame, bitmaps: DataFrame, similarity: Similarity) -> DataFrame:
-    """The pairs (a, b) that are linked, checked on the whole sets; bitmaps rule out most others first."""
+def _checked(pairs: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
+    """The pairs (a, b) that are linked, checked on the whole sets."""
     percent = similarity.percent
-    one = bitmaps.select(F.col("rep").alias("a"), F.col("n").alias("na"),
-                         *[F.col(f"b{k}").alias(f"x{k}") for k in range(BITMAP)])
-    two = bitmaps.select(F.col("rep").alias("b"), F.col("n").alias("nb"),
-                         *[F.col(f"b{k}").alias(f"y{k}") for k in range(BITMAP)])
-    apart = functools.reduce(Column.__add__, [F.bit_count(F.col(f"x{k}").bitwiseXOR(F.col(f"y{k}")))
-                                              for k in range(BITMAP)])
-    # |A xor B| = n + m - 2 shared is at least the number of bits that differ.
-    near = (pairs.join(one, "a").join(two, "b")
-            .where((100 + percent) * (F.col("na") + F.col("nb") - apart) >= 2 * percent * (F.col("na") + F.col("nb")))
-            .select("a", "b"))
-    both = (near.join(sets.select(F.col("rep").alias("a"), F.col("grams").alias("ga")), "a")
+    both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("grams").alias("ga")), "a")
             .join(sets.select(F.col("rep").alias("b"), F.col("grams").alias("gb")), "b"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,8 +315,9 @@ def heavy_links(docs: DataFrame, reps: DataFrame, width: int, similarity: Simila
                            f"shiftleft(1L, m.weights - {LONG_LIST})"))).otherwise(F.lit(-1)).alias("part")))
     # A part holds about 2^LONG_LIST + 1 sets at most: its weight bounds the documents of a member.
     part = Window.partitionBy("member", "part")
+    bits = [f"b{k}" for k in range(BITMAP)]
     listed = written(entries.withColumn("size", F.count("*").over(part)).where("size > 1 OR part >= 0")
-                     .drop("size"), "lists")
+                     .drop("size").join(reps.select("rep", *bits), "rep"), "lists")
     wanted = listed.select("rep").distinct()
     mask = np.zeros(1 << 17, np.int64)
     for row in _mask(wanted).collect():  # 2^17 rows at most
@@ -338,28 +333,25 @@ def heavy_links(docs: DataFrame, reps: DataFrame, width: int, similarity: Simila
 
     placed = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 23)).alias("place"))
     sets = written(placed.mapInArrow(marked, "rep long, grams binary").join(wanted, "rep", "left_semi"), "sets")
-    bitmaps = reps.select("rep", "n", *[f"b{k}" for k in range(BITMAP)])
-
     # Stars: each set of a part with the part's first set of about its size, parts with the first part.
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) if percent < 100 else F.col("n"))
-    entry = F.struct("n", "rep", "i")
+    entry = F.struct("n", "rep", "i", *bits)
     banded = listed.withColumn("band", band)
     inner = banded.withColumn("x", F.min(entry).over(Window.partitionBy("member", "part", "band")))
-    stars = inner.select(F.struct("n", "i").alias("l"), F.struct("x.n", "x.i").alias("r"), "rep", "x.rep")
-    stars = stars.toDF("l", "r", "p", "q")
+    stars = inner.select(F.struct("n", "i", *bits).alias("l"), F.col("x").alias("r"), "rep", "x.rep")
     heads = banded.where("part >= 0").groupBy("member", "part", "band").agg(F.min(entry).alias("h"))
-    over = heads.withColumn("x", F.min("h").over(Window.partitionBy("member", "band")))
-    over = over.select(F.struct("h.n", "h.i").alias("l"), F.struct("x.n", "x.i").alias("r"), "h.rep", "x.rep")
-    first = (stars.unionByName(over.toDF("l", "r", "p", "q")).where(F.col("p") != F.col("q"))
+    over = (heads.withColumn("x", F.min("h").over(Window.partitionBy("member", "band")))
+            .select(F.struct("h.n", "h.i", *[f"h.{b}" for b in bits]).alias("l"), F.col("x").alias("r"), "h.rep", "x.rep"))
+    first = (stars.toDF("l", "r", "p", "q").union(over.toDF("l", "r", "p", "q")).where(F.col("p") != F.col("q"))
              .where(_could_link(similarity, "l", "r"))
              .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct())
     first = written(first, "star-pairs")
-    linked = written(_checked(first, sets, bitmaps, similarity), "star-links")
+    linked = written(_checked(first, sets, similarity), "star-links")
 
     # What is left: pairs of one list in different components. One side of each is outside the list's largest one.
     groups = components(linked, "a", "b")
     labelled = (listed.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-                .select("member", "rep", "n", "i", F.coalesce("component", "rep").alias("component")))
+                .select("member", "rep", "n", "i", *bits, F.coalesce("component", "rep").alias("component")))
     inside = labelled.groupBy("member", "component").agg(F.count("*").alias("c"))
     largest = (inside.groupBy("member").agg(F.max(F.struct("c", "component")).alias("top"), F.count("*").alias("k"))
                .where("k > 1").select("member", F.col("top.component").alias("top")))
@@ -372,7 +364,7 @@ def heavy_links(docs: DataFrame, reps: DataFrame, width: int, similarity: Simila
             .select(F.least("l.rep", "r.rep").alias("a"), F.greatest("l.rep", "r.rep").alias("b")).distinct()
             .join(first, ["a", "b"], "left_anti"))
     rest = written(rest, "rest-pairs")
-    return linked.unionByName(_checked(rest, sets, bitmaps, similarity))
+    return linked.unionByName(_checked(rest, sets, similarity))
 
 
 def link_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
