@@ -85,30 +85,49 @@ def anchors_of(data: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.
     return hashes[places[first]], places[first], first, last
 
 
-ANCHORS = "anchor long, doc_id long, mark long, first long, ahead int, size int"
+ANCHORS = "anchor long, doc_id long, mark long, first long, ahead int, size int, times int"
+
+
+def _once(raw: bytes, found: tuple[np.ndarray, ...], width: int) -> tuple[np.ndarray, ...]:
+    """(hash, first window, bytes before the anchor, windows, times): neighbours with one string as one row.
+
+    In a text that repeats itself over and over, anchors follow one another with equal strings; such a run is one row
+    that counts `times`, and its windows are the same number of times as many.
+    """
+    hashes, places, first, last = found
+    ahead, size = places - first, last - first + 1
+    same = np.flatnonzero((hashes[1:] == hashes[:-1]) & (ahead[1:] == ahead[:-1]) & (size[1:] == size[:-1])) + 1
+    heads = np.ones(len(hashes), bool)
+    for k in same.tolist():
+        a, b, length = int(first[k - 1]), int(first[k]), int(size[k]) - 1 + width
+        heads[k] = raw[a:a + length] != raw[b:b + length]
+    kept = np.flatnonzero(heads)
+    times = np.diff(np.r_[kept, len(hashes)])
+    return hashes[kept], first[kept], ahead[kept], size[kept], times
 
 
 def _anchor_rows(width: int, gram: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The anchors of each text: its first window, the bytes from there to the anchor, and its number of windows."""
+    """The anchors of each text: their first window, the bytes from there to the anchor, and how many windows."""
     for batch in sliced(batches, 1):
-        columns: list[list[np.ndarray]] = [[] for _ in range(6)]
+        columns: list[list[np.ndarray]] = [[] for _ in range(7)]
         for doc_id, text, mark in zip(*(c.to_pylist() for c in batch.columns)):
-            hashes, places, first, last = anchors_of(
-                np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8), width, gram)
+            raw = text.encode("utf-8", "surrogatepass")
+            hashes, first, ahead, size, times = _once(
+                raw, anchors_of(np.frombuffer(raw, np.uint8), width, gram), width)
             for column, values in zip(columns, (
                     hashes.astype(np.int64), np.full(len(first), doc_id, np.int64), np.full(len(first), mark, np.int64),
-                    first, (places - first).astype(np.int32), (last - first + 1).astype(np.int32))):
+                    first, ahead.astype(np.int32), size.astype(np.int32), times.astype(np.int32))):
                 column.append(values)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns],
                                          [part.split(" ")[0] for part in ANCHORS.split(", ")])
 
 
-STRINGS = "anchor long, doc_id long, mark long, first long, ahead int, size int, sig binary, bytes binary"
+STRINGS = "anchor long, doc_id long, mark long, first long, ahead int, size int, times int, sig binary, bytes binary"
 
 
 def _string_rows(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The strings of the chosen anchors; the bytes of a string are given once in a batch."""
-    for batch in sliced(batches, 2):
+    for batch in sliced(batches, 2, 1 << 20):
         met, rows = set(), []
         for doc_id, mark, text, chosen in zip(*(c.to_pylist() for c in batch.columns)):
             raw = text.encode("utf-8", "surrogatepass")
@@ -118,9 +137,10 @@ def _string_rows(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
                 sig = hashlib.blake2b(string, digest_size=16).digest()
                 new = (anchor, sig) not in met
                 met.add((anchor, sig))
-                rows.append((anchor, doc_id, mark, first, one["ahead"], size, sig, string if new else None))
+                rows.append((anchor, doc_id, mark, first, one["ahead"], size, one["times"], sig,
+                             string if new else None))
         if rows:
-            kinds = (*[pa.int64()] * 4, pa.int32(), pa.int32(), pa.binary(), pa.binary())
+            kinds = (*[pa.int64()] * 4, *[pa.int32()] * 3, pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
                                              [part.split(" ")[0] for part in STRINGS.split(", ")])
 
@@ -178,12 +198,12 @@ def _parts(width: int, step: int, batches: Iterator[pa.RecordBatch]) -> Iterator
 
 def _repeated(rows: DataFrame, texts: Callable[[DataFrame], DataFrame], width: int, ranges: tuple[int, ...],
               most: tuple[int, ...], block: int) -> DataFrame:
-    """(anchor, sig, from, to) of repeated windows for written rows (anchor, sig, size), one for each occurrence.
+    """(anchor, sig, from, to) of repeated windows for written rows (anchor, sig, size, times): `times` occurrences.
 
     `texts` gives (anchor, sig, ahead, bytes, k) of the strings of wanted anchors (anchor, k). Anchors with more than
     the first of `most` strings are refined to the first of `ranges`; at the end of `ranges` none is.
     """
-    strings = rows.groupBy("anchor", "sig").agg(F.count("*").alias("n"), F.first("size").alias("size"))
+    strings = rows.groupBy("anchor", "sig").agg(F.sum("times").alias("n"), F.first("size").alias("size"))
     # A string that occurs twice is repeated as a whole; with another one of its anchor it may be so in part.
     found = strings.where("n > 1").select("anchor", "sig", F.lit(0).alias("from"), F.col("size").alias("to"))
     several = written(texts(strings.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1")), "suffix-strings")
@@ -208,7 +228,8 @@ def _repeated(rows: DataFrame, texts: Callable[[DataFrame], DataFrame], width: i
                 .select(F.col("part_anchor").alias("anchor"), F.col("part_sig").alias("sig"), "ahead",
                         F.expr(f"substring(bytes, at + 1, size + {width - 1})").alias("bytes"), "k"))
 
-    inner = _repeated(parts.select(F.col("part_anchor").alias("anchor"), F.col("part_sig").alias("sig"), "size"),
+    inner = _repeated(parts.select(F.col("part_anchor").alias("anchor"), F.col("part_sig").alias("sig"), "size",
+                                   F.lit(1).alias("times")),
                       part_texts, width, ranges[1:], most[1:], block)
     back = (parts.select("anchor", "sig", "part_anchor", "part_sig", "at")
             .join(inner.select(F.col("anchor").alias("part_anchor"), F.col("sig").alias("part_sig"), "from", "to"),
@@ -228,9 +249,9 @@ def repeated_windows(docs: DataFrame, width: int = 400, gram: int | None = None,
     gram = gram or max(1, min(GRAM, width // 2))
     anchors = written(docs.select("doc_id", "text", "mark").mapInArrow(
         functools.partial(_anchor_rows, width, gram), ANCHORS), "suffix-anchors")
-    often = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    often = anchors.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor")
     chosen = (anchors.join(often, "anchor").groupBy("doc_id", "mark")
-              .agg(F.collect_set(F.struct("anchor", "first", "ahead", "size")).alias("chosen")))
+              .agg(F.collect_set(F.struct("anchor", "first", "ahead", "size", "times")).alias("chosen")))
     rows = written(docs.join(chosen, ["doc_id", "mark"]).select("doc_id", "mark", "text", "chosen")
                    .mapInArrow(functools.partial(_string_rows, width), STRINGS), "suffix-rows")
 
@@ -239,11 +260,13 @@ def repeated_windows(docs: DataFrame, width: int = 400, gram: int | None = None,
                 .groupBy("anchor", "sig").agg(*[F.first(c).alias(c) for c in ("ahead", "bytes", "k")]))
 
     ranges = tuple(r for r in RANGES if r <= max(1, width - gram))
-    runs = _repeated(rows.select("anchor", "sig", "size"), texts, width, ranges,
+    runs = _repeated(rows.select("anchor", "sig", "size", "times"), texts, width, ranges,
                      (1, *[most] * (len(ranges) - 1)), block)
-    return (rows.select("anchor", "sig", "doc_id", "mark", "first").join(runs, ["anchor", "sig"])
+    # The windows of a string that stands several times in a row follow one another, and are all repeated.
+    more = F.col("size") * (F.col("times") - 1)
+    return (rows.select("anchor", "sig", "doc_id", "mark", "first", "size", "times").join(runs, ["anchor", "sig"])
             .select("doc_id", "mark", (F.col("first") + F.col("from")).alias("from"),
-                    (F.col("first") + F.col("to")).alias("to")))
+                    (F.col("first") + F.col("to") + more).alias("to")))
 
 
 CUT = "doc_id long, n_bytes long, spans array<struct<start:long,length:long>>, kept binary"
