@@ -333,9 +333,10 @@ def heavy_links(docs: DataFrame, reps: DataFrame, width: int, similarity: Simila
 
     placed = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 23)).alias("place"))
     sets = written(placed.mapInArrow(marked, "rep long, grams binary").join(wanted, "rep", "left_semi"), "sets")
-    # Stars: each set of a part with the part's first set of about its size, parts with the first part.
+    # Stars: each set of a part with the one of about its size that has the member earliest, and so the fewest rarer
+    # members: of near copies, the one least changed. Parts are linked in the same way.
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) if percent < 100 else F.col("n"))
-    entry = F.struct("n", "rep", "i", *bits)
+    entry = F.struct("i", "n", "rep", *bits)
     banded = listed.withColumn("band", band)
     inner = banded.withColumn("x", F.min(entry).over(Window.partitionBy("member", "part", "band")))
     stars = inner.select(F.struct("n", "i", *bits).alias("l"), F.col("x").alias("r"), "rep", "x.rep")
