@@ -45,7 +45,7 @@ class _Words(dict):
     """Word to a 64-bit hash; forgets all when it is full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 250_000:
             self.clear()
         value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return value
@@ -137,7 +137,7 @@ def _bucket_rows(width: int, bits: int, batches: Iterator[pa.RecordBatch]) -> It
 
     for batch in sliced(batches, 1):
         held += [found for text in batch.column(1).to_pylist() if len(found := shingle_set(text, width))]
-        if sum(map(len, held)) > 4_000_000:
+        if sum(map(len, held)) > 2_000_000:
             yield flush()
     if held:
         yield flush()
