@@ -45,8 +45,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that stand more than once are cut out; `n_chars` counts what is left."""
-    cut = suffix_dedup.cut_rows(docs, 400)
+    """Passages of over 50 words, or of 400 bytes, that stand more than once are cut out; `n_chars` counts what is left."""
+    cut = suffix_dedup.cut_rows(docs, 400, words=51)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,9 +37,32 @@ GRAM = 128
 BLOCK = 1 << 20  # bytes of strings in a transform
 MOST = 1000  # different strings of an anchor before it is refined
 RANGES = (64, 8, 1)  # widths of the ranges of refinement
+CODE = 6  # bytes of a word's code
 _FACTOR = 0x9E3779B97F4A7C15 | 1
 
 
+class _Codes(dict):
+    """Word to a code of CODE ASCII characters, 7 bits of its hash each; forgets all when it is full."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= 100_000:
+            self.clear()
+        code = self[word] = bytes(b & 127 for b in hashlib.blake2b(word, digest_size=CODE).digest())
+        return code
+
+
+_CODES = _Codes()
+
+
+def utf8(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
+
+
+def word_codes(text: str) -> bytes:
+    """The codes of the words one after another; words are runs of bytes other than space and \\x09-\\x0D."""
+    return b"".join(map(_CODES.__getitem__, utf8(text).split()))
+
+
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
     """A 64-bit hash of each `size` bytes, by doubling."""
     done, have, power, step = None, 0, data.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1), 1
@@ -106,12 +130,13 @@ def _once(raw: bytes, found: tuple[np.ndarray, ...], width: int) -> tuple[np.nda
     return hashes[kept], first[kept], ahead[kept], size[kept], times
 
 
-def _anchor_rows(width: int, gram: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _anchor_rows(width: int, gram: int, raw_of: Callable[[str], bytes], batches: Iterator[pa.RecordBatch]
+                 ) -> Iterator[pa.RecordBatch]:
     """The anchors of each text: their first window, the bytes from there to the anchor, and how many windows."""
     for batch in sliced(batches, 1):
         columns: list[list[np.ndarray]] = [[] for _ in range(7)]
         for doc_id, text, mark in zip(*(c.to_pylist() for c in batch.columns)):
-            raw = text.encode("utf-8", "surrogatepass")
+            raw = raw_of(text)
             hashes, first, ahead, size, times = _once(
                 raw, anchors_of(np.frombuffer(raw, np.uint8), width, gram), width)
             for column, values in zip(columns, (
@@ -125,12 +150,13 @@ def _anchor_rows(width: int, gram: int, batches: Iterator[pa.RecordBatch]) -> It
 STRINGS = "anchor long, doc_id long, mark long, first long, ahead int, size int, times int, sig binary, bytes binary"
 
 
-def _string_rows(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _string_rows(width: int, raw_of: Callable[[str], bytes], batches: Iterator[pa.RecordBatch]
+                 ) -> Iterator[pa.RecordBatch]:
     """The strings of the chosen anchors; the bytes of a string are given once in a batch."""
     for batch in sliced(batches, 2, 1 << 20):
         met, rows = set(), []
         for doc_id, mark, text, chosen in zip(*(c.to_pylist() for c in batch.columns)):
-            raw = text.encode("utf-8", "surrogatepass")
+            raw = raw_of(text)
             for one in chosen:
                 anchor, first, size = one["anchor"], one["first"], one["size"]
                 string = raw[first:first + size - 1 + width]
@@ -240,20 +266,20 @@ def _repeated(rows: DataFrame, texts: Callable[[DataFrame], DataFrame], width: i
 
 
 def repeated_windows(docs: DataFrame, width: int = 400, gram: int | None = None, most: int = MOST,
-                     block: int = BLOCK) -> DataFrame:
+                     block: int = BLOCK, raw_of: Callable[[str], bytes] = utf8) -> DataFrame:
     """(doc_id, mark, from, to): starts `from` .. `to` - 1 of windows that stand anywhere else in the collection.
 
     `docs` has doc_id, text (no nulls) and mark, a hash of the text; rows with equal doc_id and mark are copies.
-    Runs may touch or come twice.
+    Windows are taken of the bytes that `raw_of` makes of a text. Runs may touch or come twice.
     """
     gram = gram or max(1, min(GRAM, width // 2))
     anchors = written(docs.select("doc_id", "text", "mark").mapInArrow(
-        functools.partial(_anchor_rows, width, gram), ANCHORS), "suffix-anchors")
+        functools.partial(_anchor_rows, width, gram, raw_of), ANCHORS), "suffix-anchors")
     often = anchors.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor")
     chosen = (anchors.join(often, "anchor").groupBy("doc_id", "mark")
               .agg(F.collect_set(F.struct("anchor", "first", "ahead", "size", "times")).alias("chosen")))
     rows = written(docs.join(chosen, ["doc_id", "mark"]).select("doc_id", "mark", "text", "chosen")
-                   .mapInArrow(functools.partial(_string_rows, width), STRINGS), "suffix-rows")
+                   .mapInArrow(functools.partial(_string_rows, width, raw_of), STRINGS), "suffix-rows")
 
     def texts(wanted: DataFrame) -> DataFrame:
         return (rows.where("bytes IS NOT NULL").select("anchor", "sig", "ahead", "bytes").join(wanted, "anchor")
@@ -272,9 +298,23 @@ def repeated_windows(docs: DataFrame, width: int = 400, gram: int | None = None,
 CUT = "doc_id long, n_bytes long, spans array<struct<start:long,length:long>>, kept binary"
 
 
-def _merged(runs: list[dict], width: int) -> list[tuple[int, int]]:
+def _byte_spans(runs: Iterable[dict], width: int) -> list[tuple[int, int]]:
+    return [(run["from"], run["to"] - 1 + width) for run in runs]
+
+
+def _word_spans(raw: bytes, runs: list[dict], words: int) -> list[tuple[int, int]]:
+    """The bytes of the passages of `words` words whose windows of codes are in the runs.
+
+    Only windows that begin with a word count, so that chance equality of parts of codes adds nothing.
+    """
+    places = [found.span() for found in re.finditer(rb"[^ \t-\r]+", raw)] if runs else []
+    starts = [(-(-run["from"] // CODE), (run["to"] - 1) // CODE) for run in runs]
+    return [(places[first][0], places[last + words - 1][1]) for first, last in starts if first <= last]
+
+
+def _merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
-    for start, stop in sorted((run["from"], run["to"] - 1 + width) for run in (() if runs is None else runs)):
+    for start, stop in sorted(spans):
         if out and start <= out[-1][1]:
             out[-1][1] = max(out[-1][1], stop)
         else:
@@ -292,7 +332,7 @@ def _cut(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for batch in sliced(batches, 1):
         rows = []
         for doc_id, text, runs in zip(*(c.to_pylist() for c in batch.columns)):
-            raw, spans = text.encode("utf-8", "surrogatepass"), _merged(runs, width)
+            raw, spans = utf8(text), _merged(_byte_spans(runs or (), width))
             rows.append((doc_id, len(raw), [{"start": a, "length": b - a} for a, b in spans], _kept(raw, spans)))
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), spans_type, pa.binary()))],
@@ -320,23 +360,35 @@ def cut_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", text_
 
 
 def cut_rows(docs: DataFrame, width: int = 400, id_col: str = "doc_id", text_col: str = "text",
-             **options) -> DataFrame:
+             words: int | None = None, **options) -> DataFrame:
     """The rows of `docs`, all columns, with the repeated strings cut out of their text as `cut_repeats` does.
 
-    A cut may part a character; the bytes that are left of it are dropped. A null text stays null.
+    With `words`, passages of so many words that stand more than once are cut out too, however few bytes they have,
+    from their first word to their last; white space between words need not be equal. Both are judged on the input.
+    Words are compared by 42 bits of their hash, so that two passages that differ in one word are taken as equal with
+    a chance of 2^-42. A cut may part a character; the bytes that are left of it are dropped. A null text stays null.
     """
+    def shorter(text: str, runs: list[dict]) -> str:
+        raw = utf8(text)
+        spans = _byte_spans((run for run in runs if not run["coded"]), width)
+        spans += _word_spans(raw, [run for run in runs if run["coded"]], words)
+        return _kept(raw, _merged(spans)).decode("utf-8", "ignore")
 
     @F.pandas_udf("string")
     def shortened(texts: pd.Series, runs: pd.Series) -> pd.Series:
-        return pd.Series([text if found is None else _kept(text.encode("utf-8", "surrogatepass"),
-                                                           _merged(found, width)).decode("utf-8", "ignore")
-                          for text, found in zip(texts, runs)], dtype=object)
+        return pd.Series([text if found is None else shorter(text, found) for text, found in zip(texts, runs)],
+                         dtype=object)
 
     keyed = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)),
                               "__mark": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
     marked = keyed.select(F.col("__id").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                           F.col("__mark").alias("mark"))
-    runs = _runs(marked, width, **options).toDF("__id", "__mark", "__runs")
+    windows = repeated_windows(marked, width, **options).withColumn("coded", F.lit(False))
+    if words:
+        windows = windows.unionByName(repeated_windows(marked, words * CODE, raw_of=word_codes, **options)
+                                      .withColumn("coded", F.lit(True)))
+    runs = (windows.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("coded", "from", "to")))
+            .toDF("__id", "__mark", "__runs"))
     joined = keyed.join(runs, ["__id", "__mark"], "left")
     return joined.withColumn(text_col, F.when(F.col("__runs").isNull(), F.col(text_col)).otherwise(
         shortened(F.col(text_col), F.col("__runs")))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,5 +1,10 @@
+import random
+from collections import Counter
+
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from sparkloom.llm import quality_rules
+from sparkloom.llm import quality_rules, suffix_dedup
 from sparkloom.llm.queries import QUERIES
 from tests.llm.llm_data import awkward, collected
 from tests.llm.test_llm_dedup import brute_cut, brute_groups
@@ -75,3 +80,41 @@ def test_every_operator_is_registered():
     assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
     assert [f for _, f in corpus_pipeline.STAGES][1:4] == [corpus_pipeline.exact, corpus_pipeline.near,
                                                            corpus_pipeline.repeats]
+
+
+def test_passages_of_over_50_words_are_cut(spark):
+    draw = random.Random(11)
+
+    def fresh(count):
+        return [f"{draw.randrange(10**5):x}" for _ in range(count)]
+
+    rows, want = [], {}
+    for size in (50, *range(51, 67)):  # below 400 bytes, in two unrelated documents each
+        passage = fresh(size)
+        assert len(" ".join(passage)) < 400
+        for copy, space in enumerate((" ", "\n" if size % 2 else " ")):
+            before, after, name = fresh(draw.randint(0, 90)), fresh(draw.randint(1, 90)), 10 * size + copy
+            before, after = [*before, f"é{name}"], [f"ü{name}", *after]
+            rows.append((name, " ".join(before) + " " + space.join(passage) + " " + " ".join(after)))
+            want[name] = [*before, *(passage if size == 50 else []), *after]
+    for name in range(5):  # nothing in common
+        rows.append((name, " ".join(fresh(200)) + " \n "))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn(
+        "n_chars", F.length("text").cast("long")).repartition(5)
+    got = {r["doc_id"]: r["text"] for r in collected(corpus_pipeline.repeats(spark, docs, ""))}
+    assert {k: got[k].split() for k in want} == want
+    assert {k: got[k] for k in range(5)} == dict(rows[-5:])
+
+
+def test_passages_against_brute_force(spark):
+    draw = random.Random(12)
+    texts = [" ".join(draw.choice("ab") for _ in range(draw.randint(0, 40))) for _ in range(40)] + ["a " * 30, None]
+    uses = Counter(tuple(w[k:k + 6]) for w in ((t or "").split() for t in texts) for k in range(len(w) - 5))
+    want = Counter()
+    for words in ((t or "").split() for t in texts):
+        gone = {j for k in range(len(words) - 5) if uses[tuple(words[k:k + 6])] > 1 for j in range(k, k + 6)}
+        want[tuple(w for j, w in enumerate(words) if j not in gone)] += 1
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for most, block in ((1000, 1 << 20), (2, 300)):
+        got = collected(suffix_dedup.cut_rows(docs, 400, words=6, most=most, block=block))
+        assert Counter(tuple((r["text"] or "").split()) for r in got) == want
