@@ -12,7 +12,7 @@ from sparkloom.workspace import written
 
 
 def _matching(docs: DataFrame, chosen: DataFrame, keys: dict[str, Column]) -> DataFrame:
-    """One row of `docs` for each row of `chosen`, which has the keys and `__rows`, how many rows of `docs` have them."""
+    """One row of `docs` for each row of `chosen`, which has the keys and `__rows`, at least how many rows have them."""
     joined = docs.withColumns(keys).join(chosen, list(keys))
     first = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(f"`{c}`") for c in docs.columns]))
     several = joined.where(F.col("__rows") > 1).withColumn("__first", first).where("__first = 1")
@@ -37,11 +37,20 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a Jaccard similarity of 0.8 of their five-word shingles, the smallest identifier stays."""
-    found = jaccard_join.link_groups(docs, width=5, percent=80)
-    chosen = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-              .groupBy(F.coalesce("doc_id", F.lit(LOWEST)).alias("__id")).agg(F.count("*").alias("__rows")))
-    return _matching(docs, chosen, {"__id": F.coalesce("doc_id", F.lit(LOWEST))})
+    """Of texts linked by a Jaccard similarity of 0.8 of their five-word shingles, the smallest identifier stays.
+
+    Texts are the nodes, by a 64-bit hash, so that rows with no identifier or a shared one are linked by their texts
+    only. Of rows with equal texts, which the stage before leaves no more, the smallest identifier that is not null.
+    """
+    keyed = docs.select(F.xxhash64("text").alias("__key"), "text", "doc_id")
+    found = jaccard_join.link_groups(keyed, width=5, percent=80, id_col="__key")
+    texts = found.select(F.coalesce("doc_id", F.lit(LOWEST)).alias("__key"),
+                         F.coalesce("component_id", F.lit(LOWEST)).alias("group")).distinct()
+    rows = keyed.groupBy("__key").agg(F.coalesce(F.min("doc_id"), F.lit(LOWEST)).alias("__id"),
+                                      F.count("*").alias("__rows"))
+    chosen = (rows.join(texts, "__key").groupBy("group")
+              .agg(F.min(F.struct("__id", "__key", "__rows")).alias("first")).select("first.*"))
+    return _matching(docs, chosen, {"__id": F.coalesce("doc_id", F.lit(LOWEST)), "__key": F.xxhash64("text")})
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -118,3 +118,21 @@ def test_passages_against_brute_force(spark):
     for most, block in ((1000, 1 << 20), (2, 300)):
         got = collected(suffix_dedup.cut_rows(docs, 400, words=6, most=most, block=block))
         assert Counter(tuple((r["text"] or "").split()) for r in got) == want
+
+
+def test_near_stage_goes_by_texts(spark):
+    draw = random.Random(13)
+
+    def fresh():
+        return " ".join(str(draw.randrange(10**6)) for _ in range(60))
+
+    one, two, three, four = fresh(), fresh(), fresh(), fresh()
+    docs = [(None, "one without identifier"), (None, None), (None, one), (None, two), (7, three), (7, fresh()),
+            (7, fresh()), (3, three + " end"), (9, four), (8, four + " end"), (5, one + " end"), (6, "alone"),
+            (6, fresh()), (6, two + " more")]
+    gone = [(7, three), (9, four), (5, one + " end"), (6, two + " more")]  # each linked to a smaller one that stays
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = texts(corpus_pipeline.near(spark, frame, ""))
+    assert got == sorted((row for row in docs if row not in gone), key=repr)
+    again = frame.unionByName(frame)  # equal rows are one
+    assert texts(corpus_pipeline.near(spark, again, "")) == got
