@@ -4,13 +4,15 @@ Base counts reject documents that are too short or repeat themselves. For the ot
 sequence; each has a few numbers (symbols, capitals, repeated words, ...), and the Viterbi path over line scores and
 label transitions marks it as content or boilerplate. A document stays when enough of its words are in content lines.
 
-The field is fitted on a bounded sample of labelled documents: `SAMPLE` documents by a hash of the identifier, the
-first `LINES_EACH` lines of each, all lines of a document with its label. Everything else covers all data.
+The field is fitted on a bounded sample of labelled documents: `SAMPLE` documents by a hash of the identifier, at
+most `LINES_EACH` lines in a row of each, from a place by a hash of the text, all lines of a document with its label.
+Their numbers count what stands before them in the whole document. Everything else covers all data.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Callable
 from operator import eq
 from typing import NamedTuple
@@ -162,6 +164,13 @@ def base_counts(text: str, lines: list[tuple[str, list[str]]]) -> tuple[int, int
     return (len(words), len(text) - sum(map(text.count, SPACE)), len(SYMBOL.findall(text)), copies, repeats, failed)
 
 
+def stretch(text: str, count: int, most: int) -> slice:
+    """At most `most` of `count` lines: one of the fewest parts of even length, so that each line is as likely."""
+    parts = max(1, -(-count // most))
+    part = zlib.crc32(text.encode("utf-8", "surrogatepass")) % parts
+    return slice(part * count // parts, (part + 1) * count // parts)
+
+
 VERDICT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
            "base_failed boolean, content_share double, kept boolean")
 
@@ -191,9 +200,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines_each:
     numbers of at most sample x lines_each lines to the driver.
     """
 
+    def sampled(text: str) -> np.ndarray:
+        rows = line_features(lines_of(text))
+        return rows[stretch(text, len(rows), lines_each)].ravel()
+
     @F.pandas_udf("array<double>")
     def numbers(texts: pd.Series) -> pd.Series:
-        return pd.Series([line_features(lines_of(text)[:lines_each]).ravel() for text in texts])
+        return pd.Series([sampled(text) for text in texts])
 
     chosen = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
               .select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))

@@ -61,6 +61,24 @@ def test_field_learns_on_held_out_documents(spark, tables):
     assert kept.columns == docs.columns
 
 
+def test_late_lines_are_in_the_fit(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_rules, "fit", lambda sequences, labels: seen.extend(sequences))
+    text = "\n".join(["a word or two of this line"] * 50 + ["footer | line"] * 45)
+    docs = spark.createDataFrame([(k, f"{k}\n{text}") for k in range(60)] + [(60, "short | line\nof two")],
+                                 "doc_id long, text string")
+    quality_rules.train(docs, docs.selectExpr("doc_id", "doc_id % 2 AS quality"), lines_each=32)
+    bars, met = (quality_rules.FEATURES.index(name) for name in ("bars per word", "line met before"))
+    assert all(len(rows) <= 32 for rows in seen) and sorted(map(len, seen))[0] == 2
+    late = [rows for rows in seen if len(rows) > 2 and rows[-1, bars] > 0]
+    assert 20 < len(late) < 55  # two of three places end in the footer
+    assert any(rows[:, met].all() for rows in late)  # also by the lines before the place
+    for count in (1, 31, 32, 33, 500):
+        places = [quality_rules.stretch(str(k), count, 32) for k in range(4000)]
+        uses = np.bincount(np.concatenate([np.arange(count)[place] for place in places]), minlength=count)
+        assert uses.min() > 0.7 * uses.mean() and max(p.stop - p.start for p in places) <= 32
+
+
 def test_nothing_to_learn_from(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     one = spark.createDataFrame([(1, 1), (None, 0), (8, None)], "doc_id long, quality int")
