@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import bpe_codec, exact_dedup, jaccard_join, packing, quality_rules, sharding, token_counts
-from sparkloom.llm import suffix_dedup, token_store, url_filter
+from sparkloom.llm import quality_votes, suffix_dedup, token_store, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -72,6 +72,11 @@ def op10_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return quality_votes.judge(docs, quality_votes.train(docs, _table(spark, folder, "labels")), 0.7)
+
+
 QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -83,6 +88,7 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_url_filter": op9_url_filter,
     "op10_ring_shards": op10_ring_shards,
+    "op11_quality_votes": op11_quality_votes,
 }
 
 ORACLES = {
