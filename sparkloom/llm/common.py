@@ -14,14 +14,23 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOWEST = -(2**63)
+BATCH_BYTES, DEFAULT_BATCH = 16 << 20, "67108864b"  # the second as Spark shows its default
+
+
+def bounded_batches(spark: SparkSession, most_bytes: int = BATCH_BYTES) -> None:
+    """Let Python workers get rows in Arrow batches of about `most_bytes`, unless the session has a bound of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == DEFAULT_BATCH:
+        spark.conf.set(name, str(most_bytes))
 
 
 def documents_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns every operator reads, as `doc_id` (never null) and `text` (never null)."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 

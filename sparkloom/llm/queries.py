@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import bpe_codec, exact_dedup, jaccard_join, packing, quality_rules, sharding, token_counts
-from sparkloom.llm import quality_votes, suffix_dedup, token_store, url_filter
+from sparkloom.llm import prefix_trie, quality_votes, suffix_dedup, token_store, url_filter, vector_codes
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -77,6 +77,15 @@ def op11_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
     return quality_votes.judge(docs, quality_votes.train(docs, _table(spark, folder, "labels")), 0.7)
 
 
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded = vector_codes.encode(_table(spark, folder, "embeddings"), parts=16, entries=64, rounds=2)
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, folder, "conversations"), step=5, folds=9)
+
+
 QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -89,6 +98,8 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_ring_shards": op10_ring_shards,
     "op11_quality_votes": op11_quality_votes,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES = {
