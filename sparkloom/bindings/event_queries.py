@@ -88,9 +88,6 @@ QUOTES_SQL = """SELECT DISTINCT event_type AS symbol, cast(ts AS date) AS date,
 
 ORACLES = {
     "cdc_unpack": UNPACKED_SQL,
-    "cdc_with_key": _with_key,
-    "device_readings": _devices,
-    "json_big_numbers": _big_numbers,
     "cdc_with_key": f"""SELECT event_id AS key, {_OP} AS op, CASE WHEN event_type <> 'error' THEN value END AS value
         FROM events""",
     "device_readings": """SELECT event_id, cast(user_id AS varchar) AS sender, cast(ts AS varchar) AS sent, device,

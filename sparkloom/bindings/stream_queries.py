@@ -24,10 +24,10 @@ from sparkloom.workspace import new_folder
 BATCHES = 3
 
 
-def _stream(spark, folder, name):
+def stream_of(spark, folder, name, batches=BATCHES):
     """A whole table as a stream of several batches: its rows are dealt over files, and a batch takes one file."""
     path, rows = new_folder(spark, f"{name}-in"), table(spark, folder, name)
-    rows.repartition(BATCHES).write.parquet(path)
+    rows.repartition(batches).write.parquet(path)
     return stream_parquet(spark, path, rows.schema, files_per_batch=1)
 
 
@@ -43,7 +43,7 @@ def _to_files(spark, folder):
 
 def _cdc(spark, folder):
     path, checkpoint = new_folder(spark, "changes-out"), new_folder(spark, "checkpoint")
-    rows = unpacked(change_messages(_stream(spark, folder, "events")))
+    rows = unpacked(change_messages(stream_of(spark, folder, "events")))
     to_parquet(rows, path, checkpoint)
     return spark.read.schema(rows.schema).parquet(path)
 
@@ -60,19 +60,19 @@ def _per_batch(spark, folder):
 
 def _running(spark, folder):
     path, folded = new_folder(spark, "totals"), new_folder(spark, "totals")
-    word_counts.count_running(_stream(spark, folder, "documents"), path, new_folder(spark, "checkpoint"), "text")
+    word_counts.count_running(stream_of(spark, folder, "documents"), path, new_folder(spark, "checkpoint"), "text")
     word_counts.fold_running(spark, path, folded)
     return word_counts.read_running(spark, folded)
 
 
 def _running_complete(spark, folder):
     path = new_folder(spark, "totals")
-    word_counts.count_running_complete(_stream(spark, folder, "documents"), path, new_folder(spark, "checkpoint"), "text")
+    word_counts.count_running_complete(stream_of(spark, folder, "documents"), path, new_folder(spark, "checkpoint"), "text")
     return word_counts.read_last_snapshot(spark, path)
 
 
 def _upsert(spark, folder):
-    clicks = delimited_fields(click_messages(_stream(spark, folder, "events")),
+    clicks = delimited_fields(click_messages(stream_of(spark, folder, "events")),
                               spark.createDataFrame([], CLICK_SCHEMA).schema)
     target = KeyedTable(new_folder(spark, "clicks"), "row_key", ("clickinfo.time", "clickinfo.studentid"))
     for_each_batch(click_rows(clicks), target.put, new_folder(spark, "checkpoint"))
@@ -84,7 +84,7 @@ def _quote_merge(spark, folder):
     path, checkpoint = new_folder(spark, "quotes"), new_folder(spark, "checkpoint")
     quotes.open_quotes(spark, path)
     quotes.add_quotes(ev.quotes(quote_messages(first_half(table(spark, folder, "events")))), path)
-    quotes.stream_quotes(ev.quotes(quote_messages(_stream(spark, folder, "events"))), path, checkpoint)
+    quotes.stream_quotes(ev.quotes(quote_messages(stream_of(spark, folder, "events"))), path, checkpoint)
     return wide(quotes.read_quotes(spark, path))
 
 

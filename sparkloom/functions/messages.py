@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkloom.functions.inference import MOST_FIELDS, infer_json
+
 
 def payload_text(value: str | Column, charset: str = "UTF-8") -> Column:
     """Binary message body as text."""
@@ -51,36 +51,24 @@ def envelope_schema(row_schema: T.StructType) -> T.StructType:
     ])
 
 
-def _column_type(found: T.DataType) -> T.DataType:
-    """The column type of an inferred one: fractions are doubles, mixed or unknown values text."""
-    if isinstance(found, T.StructType):
-        return T.StructType([T.StructField(f.name, _column_type(f.dataType)) for f in found.fields])
-    if isinstance(found, T.ArrayType):
-        return T.ArrayType(_column_type(found.elementType))
-    if isinstance(found, (T.VariantType, T.NullType)):
-        return T.StringType()
-    if isinstance(found, T.DecimalType) and found.scale > 0:
-        return T.DoubleType()
-    return found
-
-
-def json_schema(strings: DataFrame, column: str) -> T.StructType:
-    """Infer one schema from a column of JSON objects held as strings.
+def json_schema(strings: DataFrame, column: str, most_fields: int = MOST_FIELDS) -> T.StructType | T.MapType:
+    """Infer one schema from a column of JSON objects held as strings (see `inference.infer_json`).
 
-    The merge runs as a distributed aggregate; only the resulting type text reaches the driver, so the objects should
-    have a bounded number of different keys. Arrays that mix types are widened to strings, fractions are doubles, and
-    whole numbers too large for bigint keep all their digits as decimals.
+    A struct, or a map where the objects have more than `most_fields` different keys.
     """
-    merged = strings.select(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0]
-    # The variant functions call a struct an object; a field of that name is followed by a colon and not by `<`.
-    merged = re.sub(r"(^|: |ARRAY<)OBJECT<", r"\g<1>STRUCT<", merged)
-    found = T.DataType.fromDDL(merged) if merged.startswith("STRUCT<") else None
-    if not isinstance(found, T.StructType):
+    found = infer_json(strings, column, most_fields)
+    if not isinstance(found, (T.StructType, T.MapType)):
         raise ValueError(f"column {column!r} holds no JSON objects")
-    return _column_type(found)
+    return found
 
 
-def parse_json_strings(strings: DataFrame, column: str, schema: str | T.StructType | None = None) -> DataFrame:
-    """Expand JSON strings to typed columns, inferring the schema in one extra pass when none is given."""
-    schema = schema if schema is not None else json_schema(strings, column)
+def parse_json_strings(strings: DataFrame, column: str, schema: str | T.StructType | T.MapType | None = None,
+                       map_column: str = "entries", most_fields: int = MOST_FIELDS) -> DataFrame:
+    """Expand JSON strings to typed columns, inferring the schema first when none is given.
+
+    Objects with too many different keys for columns come as one map column, `map_column`.
+    """
+    schema = schema if schema is not None else json_schema(strings, column, most_fields)
+    if isinstance(schema, T.MapType):
+        return strings.select(F.from_json(column, schema).alias(map_column))
     return strings.select(F.from_json(column, schema).alias("_row")).select("_row.*")

@@ -40,7 +40,9 @@ def hot_keys(facts: DataFrame, keys: str | list[str], partitions: int | None = N
 
     One pass with a mergeable frequent-items sketch and no shuffle of the facts. At most `partitions` keys can hold
     that share, so the list has at most twice as many rows; the sketch tracks sixteen times as many and loses none
-    of them. It may name other frequent keys too, which does no harm. Runs a job at once.
+    of them up to 62,500 partitions; beyond, where it tracks a million keys, one that holds barely the share may be
+    missed, and its rows stay together. It may name other frequent keys too. Neither changes the result of a join.
+    Runs a job at once.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     partitions = partitions or _partitions(facts)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,41 +56,93 @@ def profile_basic(frame: DataFrame, columns: list[str] | None = None) -> DataFra
     return reduce(DataFrame.unionByName, halves)
 
 
+def _label(fraction: float) -> str:
+    return f"p{fraction * 100:g}".replace(".", "_")
+
+
+def _classes(frame: DataFrame, names: list[str]) -> dict[str, list[str]]:
+    """Number columns by the type that holds all their values: bigint, double, or the decimal that they are."""
+    out: dict[str, list[str]] = {}
+    for name in names:
+        kind = frame.schema[name].dataType
+        whole = isinstance(kind, T.IntegralType)
+        out.setdefault("bigint" if whole else "double" if isinstance(kind, T.FractionalType) and not isinstance(
+            kind, T.DecimalType) else kind.simpleString(), []).append(name)
+    return out
+
+
 def profile_quantiles(frame: DataFrame, columns: list[str] | None = None,
-                      fractions: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Minimum, chosen quantiles and maximum of every number column, exactly.
+                      fractions: tuple[float, ...] = (0.25, 0.5, 0.75), as_text: bool = False) -> DataFrame:
+    """Minimum, chosen quantiles and maximum of every number column, found among the values themselves.
 
     A quantile is the smallest value that at least this fraction of the values does not exceed; nulls do not count.
-    Equal values of a column are counted first and written once. The counts are sorted by ranges of (column, value);
-    the sum of each range says where a rank falls, and only running sums within ranges are needed to find it, so no
-    column meets in one task. Columns are named after the percentage, such as `p25`. Runs two jobs at once.
+    Values are counted and sorted in their column's own type; they are returned as doubles, or `as_text` with all
+    their digits. Equal values of a column are counted first and written once. The counts are sorted by ranges of
+    (column, value); the sum of each range says where a rank falls, and only running sums within ranges are needed to
+    find it, so no column meets in one task. Columns are named after the percentage, such as `p25`. Runs two jobs at once.
     """
     names = [n for n in (columns or frame.columns) if _is_number(frame, n)]
-    labels = [f"p{fraction * 100:g}".replace(".", "_") for fraction in fractions]
+    labels, kind = [_label(fraction) for fraction in fractions], "string" if as_text else "double"
     if not names:
         return frame.sparkSession.createDataFrame([], ", ".join(
-            ["column string", "min double", *[f"{label} double" for label in labels], "max double"]))
-    pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(f"`{n}`").cast("double").alias("value")) for n in names])
-    counts = frame.select(F.inline(pairs)).groupBy("column", "value").agg(F.count("*").alias("n"))
-    counts = written(counts, "value-counts").where("value IS NOT NULL")
-    ranges = written(counts.repartitionByRange("column", "value").withColumn("part", F.spark_partition_id()), "value-ranges")
-    sums = ranges.groupBy("column", "part").agg(F.sum("n").alias("n"), F.min("value").alias("min"),
-                                                F.max("value").alias("max"))
+            ["column string", f"min {kind}", *[f"{label} {kind}" for label in labels], f"max {kind}"]))
+    # A value stands in the field of its type's class; the fields of other classes are null.
+    classes = _classes(frame, names)
+    fields = {k: f"v{i}" for i, k in enumerate(classes)}
+    values = list(fields.values())
+    pairs = F.array(*[F.struct(F.lit(n).alias("column"), *[
+        (F.col(f"`{n}`") if held == k else F.lit(None)).cast(k).alias(v) for k, v in fields.items()])
+        for held, members in classes.items() for n in members])
+    counts = frame.select(F.inline(pairs)).groupBy("column", *values).agg(F.count("*").alias("n"))
+    counts = written(counts, "value-counts").where(" OR ".join(f"{v} IS NOT NULL" for v in values))
+    ranges = written(counts.repartitionByRange("column", *values).withColumn("part", F.spark_partition_id()), "value-ranges")
+    sums = ranges.groupBy("column", "part").agg(F.sum("n").alias("n"))
     earlier = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("column")  # a row for each range of the column
     sums = sums.select("column", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
-                       F.sum("n").over(whole).alias("total"), F.min("min").over(whole).alias("min"),
-                       F.max("max").over(whole).alias("max"))
-    inside = Window.partitionBy("column", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+                       F.sum("n").over(whole).alias("total"))
+    inside = Window.partitionBy("column", "part").orderBy(*values).rowsBetween(Window.unboundedPreceding, 0)
     placed = (ranges.withColumn("upto", F.sum("n").over(inside)).join(sums, ["column", "part"])
               .withColumn("upto", F.col("upto") + F.col("before")))
-    found = [F.min(F.when(F.col("upto") >= F.ceil(F.lit(fraction) * F.col("total")), F.col("value"))).alias(label)
-             for fraction, label in zip(fractions, labels)]
-    seen = placed.groupBy("column").agg(F.first("min").alias("min"), *found, F.first("max").alias("max"))
+    reached = [("min", F.lit(True)), *[(label, F.col("upto") >= F.ceil(F.lit(fraction) * F.col("total")))
+                                       for fraction, label in zip(fractions, labels)],
+               ("max", F.col("upto") >= F.col("total"))]
+    found = [F.coalesce(*[F.min(F.when(test, F.col(v))).cast(kind) for v in values]).alias(label) for label, test in reached]
+    seen = placed.groupBy("column").agg(*found)
     every = frame.sparkSession.createDataFrame([(n,) for n in names], "column string")
     return every.join(seen, "column", "left")
 
 
+def profile_sketch(frame: DataFrame, columns: list[str] | None = None,
+                   fractions: tuple[float, ...] = (0.25, 0.5, 0.75), accuracy: int = 1000) -> DataFrame:
+    """Count, mean, deviation, extremes and quantiles of number and text columns in one pass over the table.
+
+    Quantiles come from a mergeable sketch: each is a value of the column whose rank is off by at most
+    count / `accuracy`; the sketch holds a number of values that depends on the accuracy. Everything is null for text
+    but count, minimum and maximum, and all values are given as text, since the columns differ in type.
+    """
+    names, nothing = _profiled(frame, columns), F.lit(None)
+    labels = [_label(fraction) for fraction in fractions]
+    schema = ["column string", "count bigint", "mean double", "stddev double", "min string",
+              *[f"{label} string" for label in labels], "max string"]
+    if not names:
+        return frame.sparkSession.createDataFrame([], ", ".join(schema))
+
+    def summary(name: str) -> Column:
+        number, value = _is_number(frame, name), F.col(f"`{name}`")
+        sketch = F.percentile_approx(value, list(fractions), accuracy) if number and fractions else None
+        return F.struct(
+            F.count(value).alias("count"), (F.avg(value).cast("double") if number else nothing.cast("double")).alias("mean"),
+            (F.stddev_samp(value) if number else nothing.cast("double")).alias("stddev"),
+            F.min(value).cast("string").alias("min"),
+            *[(F.get(sketch, F.lit(k)).cast("string") if number else nothing.cast("string")).alias(label)
+              for k, label in enumerate(labels)],
+            F.max(value).cast("string").alias("max"))
+
+    wide = frame.agg(*[summary(name).alias(f"s{i}") for i, name in enumerate(names)])
+    return _long_form(wide, names, [column.split(" ")[0] for column in schema[1:]])
+
+
 def profile_summary(frame: DataFrame, columns: list[str] | None = None,
                     fractions: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
     """`profile_basic` of number and text columns with the quantiles of number columns beside it."""

@@ -38,6 +38,13 @@ def changed_to(changes: DataFrame, op: str | None = None) -> DataFrame:
     return changes.select("op", "after.*")
 
 
+def keyed_changes(changes: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The row after each change with a column `deleted`; for a deletion, the row that it removes."""
+    row = F.coalesce("after", "before")
+    return changes.select(*keep, row.alias("_row"), (F.col("op") == "d").alias("deleted")).select(
+        *keep, "_row.*", "deleted")
+
+
 def json_tour(frame: DataFrame, column: str, field: str, sample: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """One JSON field read four ways, the text written back, and the schema of a sample."""
     as_map = F.from_json(column, T.MapType(T.StringType(), T.StringType()))

@@ -18,10 +18,11 @@ def write_delimited(frame: DataFrame, path: str, overwrite: bool = False, files:
     """CSV directory; fails if present unless `overwrite`.
 
     A null is written as `null_mark`, an empty string as two quotes, so that both can be told apart when read back;
-    a text equal to the mark is read back as null. Values with line breaks are quoted and need a multi-line reader.
+    a text equal to the mark is read back as null. White space around a value is kept. Values with line breaks are quoted and need a multi-line reader.
     """
     (_writer(frame, overwrite, files).option("sep", sep).option("quote", quote).option("header", header)
-     .option("nullValue", null_mark).option("emptyValue", quote * 2).option("escape", quote).csv(path))
+     .option("nullValue", null_mark).option("emptyValue", quote * 2).option("escape", quote)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_lines(frame: DataFrame, path: str, overwrite: bool = False, files: int | None = None) -> None:
@@ -52,3 +53,15 @@ def write_table(frame: DataFrame, name: str, path: str | None = None) -> None:
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
+
+
+def write_bucketed(frame: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Catalog table in `buckets` files by the hash of a key, each sorted by it; replaced if present.
+
+    Tables with the same number of buckets of the join key are joined, and one is aggregated by it, without moving
+    their rows. Rows are dealt to the buckets first, so that a bucket is one file.
+    """
+    writer = frame.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)

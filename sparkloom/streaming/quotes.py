@@ -1,4 +1,10 @@
-"""Price quotes kept as Parquet partitions of date and symbol, without duplicates."""
+"""Price quotes without duplicates, as Parquet folders of a date and a symbol bucket, swapped by versions.
+
+A batch rewrites the folders of its own dates and buckets, old rows and new ones together, under the number of the
+next version; a manifest then names the newest folder of each date and bucket. So a folder is one file, or a few
+where its rows are many; a reader sees a whole version; and neither reading nor writing lists the whole table. What
+the driver holds is a number for each date and bucket.
+"""
 
 from __future__ import annotations
 
@@ -6,51 +12,73 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.plans.events import QUOTE_SCHEMA
+from sparkloom.streaming.manifest import Manifest
 from sparkloom.streaming.runner import for_each_batch
-from sparkloom.workspace import written
-
+from sparkloom.workspace import passing
 
-def _placed(quotes: DataFrame) -> DataFrame:
-    """Quotes with the names of their folders, which are never empty or null; the symbol stays a column."""
-    return quotes.withColumns({
-        "quote_day": F.concat(F.lit("d"), F.coalesce(F.col("date").cast("string"), F.lit(""))),
-        "quote_symbol": F.concat(F.lit("s"), F.coalesce("symbol", F.lit("")))})
+BUCKETS = 4  # of symbols, fixed for the life of a table
+MISSING = "none"  # the folder of quotes without a date
 
 
 def open_quotes(spark: SparkSession, path: str) -> None:
-    """Create the table folder if it is not there; an existing table is left as it is."""
-    _write(spark.createDataFrame([], QUOTE_SCHEMA), path)
+    """Publish an empty table, if there is none yet."""
+    manifest = Manifest(path)
+    if manifest.current(spark).number < 0:
+        manifest.publish(spark, manifest.current(spark), {"parts": {}}, [])
 
 
-def _write(quotes: DataFrame, path: str) -> None:
-    (_placed(quotes).hint("rebalance", "quote_day", "quote_symbol")
-     .write.mode("append").partitionBy("quote_day", "quote_symbol").parquet(path))
+def _placed(quotes: DataFrame) -> DataFrame:
+    return quotes.withColumns({
+        "quote_day": F.coalesce(F.col("date").cast("string"), F.lit(MISSING)),
+        "quote_bucket": F.pmod(F.xxhash64("symbol"), F.lit(BUCKETS)).cast("int")})
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(f"{QUOTE_SCHEMA}, quote_day string, quote_symbol string").parquet(path)
+def _read(spark: SparkSession, path: str, parts: dict[str, dict[str, int]]) -> DataFrame:
+    """The named folders: {day: {bucket: version}}."""
+    folders = [f"{path}/v{number}/quote_day={day}/quote_bucket={bucket}"
+               for day, buckets in sorted(parts.items()) for bucket, number in sorted(buckets.items())]
+    return spark.read.schema(QUOTE_SCHEMA).parquet(*folders) if folders else spark.createDataFrame([], QUOTE_SCHEMA)
 
 
-def read_quotes(spark: SparkSession, path: str) -> DataFrame:
-    return _stored(spark, path).drop("quote_day", "quote_symbol")
+def read_quotes(spark: SparkSession, path: str, days: list[str] | None = None, version: int | None = None) -> DataFrame:
+    """The table, or some of its days (`YYYY-MM-DD`): folders of other days are not even listed."""
+    manifest = Manifest(path)
+    content = (manifest.current(spark) if version is None else manifest.at(spark, version)).content
+    parts = content.get("parts", {})
+    return _read(spark, path, parts if days is None else {day: parts[day] for day in days if day in parts})
 
 
 def add_quotes(new: DataFrame, path: str) -> None:
-    """Append the quotes that the table does not hold yet.
+    """Put the quotes of a batch into the table, which need not be there yet; quotes that it holds stay single.
 
-    Existing rows are not rewritten, and repeating a batch adds nothing. Only folders of a date and symbol of the
-    batch are compared: their names are joined with the table's folder columns, which lets Spark leave out the files
-    of all others. Copies are dropped before rows are compared, so a heavily repeated quote moves once; Spark splits
-    the write of a folder that would make an oversized task. The batch is written once to the shared folder.
+    Copies are dropped before rows are compared, so a heavily repeated quote moves once. Repeating a batch changes
+    no row. The batch is written to the shared folder for as long as this runs.
     """
-    spark = new.sparkSession
-    fresh = written(new.distinct(), "quotes")
-    touched = _placed(fresh).where(F.col("quote_day") >= "d").select("quote_day", "quote_symbol").distinct()
-    existing = _stored(spark, path).join(touched, ["quote_day", "quote_symbol"], "left_semi")
-    _write(fresh.subtract(existing.select(*fresh.columns)), path)
+    spark, manifest = new.sparkSession, Manifest(path)
+    with passing(_placed(new.select(*_names()).distinct()), "quotes") as fresh:
+        touched = [(row["quote_day"], str(row["quote_bucket"])) for row in
+                   fresh.select("quote_day", "quote_bucket").distinct().collect()]  # folders of one batch
+        if not touched:
+            return
+        before = manifest.current(spark)
+        parts, retired, old = dict(before.content.get("parts", {})), [], {}
+        number = before.number + 1
+        for day, bucket in touched:
+            was = parts.get(day, {}).get(bucket)
+            if was is not None:
+                old.setdefault(day, {})[bucket] = was
+                retired.append(f"v{was}/quote_day={day}/quote_bucket={bucket}")
+            parts[day] = {**parts.get(day, {}), bucket: number}
+        whole = _placed(_read(spark, path, old).unionByName(fresh.select(*_names())).distinct())
+        (whole.hint("rebalance", "quote_day", "quote_bucket").write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").partitionBy("quote_day", "quote_bucket").parquet(f"{path}/v{number}"))
+        manifest.publish(spark, before, {"parts": parts}, retired)
+
+
+def _names() -> list[str]:
+    return [column.split(" ")[0] for column in QUOTE_SCHEMA.split(", ")]
 
 
 def stream_quotes(quotes: DataFrame, path: str, checkpoint: str, **timing) -> None:
     """Merge every micro-batch of a quote stream into the table."""
-    open_quotes(quotes.sparkSession, path)
     for_each_batch(quotes, lambda batch, _: add_quotes(batch, path), checkpoint, "update", **timing)

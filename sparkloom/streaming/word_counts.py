@@ -61,3 +61,11 @@ def read_last_snapshot(spark: SparkSession, path: str) -> DataFrame:
     snapshots = spark.read.parquet(path)
     last = snapshots.agg(F.max("snapshot")).first()[0]
     return snapshots.where(F.col("snapshot") == last).drop("snapshot", "turn")
+
+
+def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Totals as the stopped query of a checkpoint holds them in its state, without any file that it emitted.
+
+    After the last finished batch; the state is read as one partition for each of its own.
+    """
+    return spark.read.format("statestore").load(checkpoint).select("key.word", "value.count")

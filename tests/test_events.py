@@ -54,10 +54,16 @@ def test_delimited_messages(spark):
 
 
 def test_json_tour(spark):
-    frame = spark.createDataFrame([('{"Level":704,"Area":"P"}',), ("{}",)], "value string")
-    first, second = rows(ev.json_tour(frame, "value", "Level", '{"Level":704,"Area":"P"}'))
-    assert first == ("704", "704", "704", 704, '{"Level":"704","Area":"P"}', "STRUCT<Area: STRING, Level: BIGINT>")
-    assert second[:4] == (None, None, None, None)
+    """A harbour's berths: the field is there, is null, is no number, is missing; and a text that is no JSON."""
+    texts = ['{"berth": 12, "ship": "Möwe", "tide": 1.5}', '{"berth": null}', '{"berth": "quay"}', '{"ship": "Ida"}', "fog"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "no int, value string")
+    got = {r.no: r for r in ev.json_tour(frame, "value", "berth", '{"ship": "x", "wide": [true]}', keep=("no",)).collect()}
+    assert [got[k].via_map for k in range(5)] == ["12", None, "quay", None, None]
+    assert [got[k].via_tuple for k in range(5)] == ["12", None, "quay", None, None]
+    assert [got[k].via_path for k in range(5)] == ["12", None, "quay", None, None]
+    assert [got[k].via_struct for k in range(5)] == [12, None, None, None, None]
+    assert got[0].as_text == '{"berth":"12","ship":"Möwe","tide":"1.5"}' and got[4].as_text is None
+    assert {r.sample_schema for r in got.values()} == {"STRUCT<ship: STRING, wide: ARRAY<BOOLEAN>>"}
 
 
 def test_quotes(spark):

@@ -1,6 +1,11 @@
+import random
+import re
 import time
+from collections import Counter
+from pathlib import Path
 
 import pytest
+from pyarrow import parquet
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
@@ -8,7 +13,10 @@ from sparkloom.functions.messages import delimited_fields
 from sparkloom.plans.text import part_count
 from sparkloom.sources.files import stream_lines
 from sparkloom.streaming import quotes, runner, word_counts
+from sparkloom.streaming.changes import ChangeTable
 from sparkloom.streaming.keyed import CLICK_SCHEMA, KeyedTable, click_rows, newest
+from sparkloom.streaming.manifest import Manifest
+from sparkloom.workspace import application_folder
 from tests.helpers import bag, plan, rows
 
 
@@ -171,17 +179,143 @@ def test_empty_and_null_symbols_are_stored_once(spark, tmp_path):
     assert bag(quotes.read_quotes(spark, path).select(*frame.columns)) == bag(frame)
 
 
-def test_only_touched_folders_are_compared(spark, tmp_path):
-    stored = str(tmp_path / "quotes")
-    quotes.open_quotes(spark, stored)
-    frame = spark.range(60).select(
+def _dated(spark, count=60):
+    return spark.range(count).select(
         F.concat(F.lit("s"), F.col("id") % 3).alias("symbol"), F.date_add(F.lit("2024-01-01").cast("date"), (
             F.col("id") % 10).cast("int")).alias("date"),
         *[F.lit(1.0).alias(c) for c in ("open", "high", "low", "close")], F.col("id").cast("int").alias("volume"))
+
+
+def test_only_touched_folders_are_rewritten(spark, tmp_path):
+    stored = str(tmp_path / "quotes")
+    frame = _dated(spark)
     for _ in range(2):
         quotes.add_quotes(frame, stored)
     assert quotes.read_quotes(spark, stored).count() == 60
-    touched = frame.limit(1).select(F.concat(F.lit("d"), F.col("date").cast("string")).alias("quote_day"),
-                                    F.concat(F.lit("s"), "symbol").alias("quote_symbol")).where("quote_day >= 'd'")
-    joined = quotes._stored(spark, stored).join(touched, ["quote_day", "quote_symbol"], "left_semi")
-    assert "dynamicpruning" in plan(joined)
+    before = Manifest(stored).current(spark).content["parts"]
+    quotes.add_quotes(frame.where("date = '2024-01-03'").limit(1).withColumn("volume", F.lit(999)), stored)
+    after = Manifest(stored).current(spark).content["parts"]
+    changed = [(day, bucket) for day in after for bucket in after[day] if before[day].get(bucket) != after[day][bucket]]
+    assert len(changed) == 1 and changed[0][0] == "2024-01-03"
+    assert quotes.read_quotes(spark, stored).count() == 61
+    assert quotes.read_quotes(spark, stored, days=["2024-01-03", "1999-01-01"]).count() == 7
+
+
+def test_twenty_batches_leave_few_files_and_whole_versions(spark, tmp_path):
+    stored = str(tmp_path / "quotes")
+    shared = Path(application_folder(spark))
+    left = len(list(shared.glob("quotes-*")))
+    seen = []
+    for number in range(20):
+        batch = _dated(spark, 4).withColumn("volume", F.col("volume") + number)
+        seen.append(quotes.read_quotes(spark, stored).collect)  # a reader that began before this batch
+        quotes.add_quotes(batch.coalesce(1), stored)
+        assert quotes.read_quotes(spark, stored).count() == 4 * (number + 1)
+        assert len(seen[-1]()) == 4 * number
+    live = Manifest(stored).current(spark).content["parts"]
+    for day, buckets in live.items():
+        for bucket, version in buckets.items():
+            assert len(list(Path(f"{stored}/v{version}/quote_day={day}/quote_bucket={bucket}").glob("*.parquet"))) == 1
+    # Besides the live folders only those of the last few versions are there, and nothing in the shared folder.
+    assert len(list(Path(stored).glob("v*/quote_day=*/quote_bucket=*/*.parquet"))) <= 4 * (Manifest(stored).keep + 1)
+    assert len(list(shared.glob("quotes-*"))) == left
+    assert len(list(Path(f"{stored}/_versions").glob("[0-9]*.json"))) == Manifest(stored).keep
+
+
+# ---- tables of changes
+
+USERS = "id bigint, at int, name string"
+
+
+def _changes(spark, *rows_):
+    return spark.createDataFrame(rows_, f"{USERS}, deleted boolean")
+
+
+def _users(tmp_path, **more):
+    return ChangeTable(str(tmp_path / "users"), USERS, "id", ("at",), buckets=4, **more)
+
+
+def test_changes_with_deletions(spark, tmp_path):
+    users = _users(tmp_path)
+    assert users.read(spark).columns == ["id", "at", "name"] and users.read(spark).count() == 0
+    assert users.apply(_changes(spark, (1, 1, "a", False), (2, 1, "b", False), (3, 5, "c", None)), 0)
+    assert users.apply(_changes(spark, (1, 3, None, True), (2, 4, "B", False), (2, 2, "old", False)), 1)
+    assert bag(users.read(spark)) == {(2, 4, "B"): 1, (3, 5, "c"): 1}
+    users.apply(_changes(spark, (1, 2, "late", False), (3, 4, None, True)), 2)  # both older than what is known
+    assert bag(users.read(spark)) == {(2, 4, "B"): 1, (3, 5, "c"): 1}
+    users.apply(_changes(spark, (1, 9, "again", False), (3, 5, None, True)), 3)  # on a tie the deletion wins
+    assert bag(users.read(spark)) == {(2, 4, "B"): 1, (1, 9, "again"): 1}
+
+
+def test_replayed_batches_are_left_out(spark, tmp_path):
+    users = _users(tmp_path)
+    first = _changes(spark, (1, 1, "a", False))
+    assert users.apply(first, 0) and not users.apply(first, 0)
+    assert not users.apply(_changes(spark, (1, 9, "other", False)), 0)
+    assert users.apply(_changes(spark, (1, 2, "b", False)), 0, "second")
+    assert bag(users.read(spark)) == {(1, 2, "b"): 1}
+    # A crash after the run was written and before it was published: the run is written again.
+    assert users.apply(_changes(spark, (7, 7, "g", False)), 1)
+    _changes(spark, (8, 8, "torn", False)).write.parquet(f"{users.path}/runs/run=changes-2/bucket=0")
+    assert users.apply(_changes(spark, (8, 8, "h", False)), 2)
+    assert bag(users.read(spark)) == {(1, 2, "b"): 1, (7, 7, "g"): 1, (8, 8, "h"): 1}
+
+
+def test_runs_are_merged_by_levels(spark, tmp_path):
+    draw, users, known = random.Random(3), _users(tmp_path, fanout=3), {}
+    for number in range(14):
+        batch = [(draw.randint(1, 40), draw.randint(1, 1000), f"n{number}", draw.random() < 0.3) for _ in range(15)]
+        users.apply(_changes(spark, *batch), number)
+        for row in batch:
+            if row[0] not in known or (row[1], row[3], row[2]) > (known[row[0]][1], known[row[0]][3], known[row[0]][2]):
+                known[row[0]] = row
+        runs = Manifest(users.path).current(spark).content["runs"]
+        levels = Counter(run["level"] for run in runs)
+        assert max(levels.values()) < 3 and len(levels) <= 4
+    assert bag(users.read(spark)) == Counter(row[:3] for row in known.values() if not row[3])
+    assert len(list(Path(users.path, "runs").iterdir())) <= len(runs) + 3 * Manifest(users.path).keep
+    users.compact(spark)
+    assert len(Manifest(users.path).current(spark).content["runs"]) == 1
+    assert bag(users.read(spark)) == Counter(row[:3] for row in known.values() if not row[3])
+
+
+def test_one_key_opens_its_bucket_only(spark, tmp_path):
+    users = _users(tmp_path, fanout=10)
+    for number in range(3):
+        users.apply(_changes(spark, *[(k, number, f"n{k}", k == 5 and number == 2) for k in range(200)]), number)
+    found = users.lookup(spark, 17)
+    assert rows(found) == [(17, 2, "n17")] and rows(users.lookup(spark, 5)) == [] and rows(users.lookup(spark, 999)) == []
+    runs = users._runs(spark, Manifest(users.path).current(spark))
+    bucket = runs.where("id = 17").select("bucket").first()[0]
+    text = plan(found)
+    assert re.search(rf"PartitionFilters: \[[^\]]*bucket#\d+ = {bucket}\)", text) and "EqualTo(id,17)" in text
+    footer = parquet.ParquetFile(next(Path(users.path, "runs", "run=changes-0").rglob("*.parquet"))).metadata.row_group(0)
+    held = {footer.column(k).path_in_schema: footer.column(k) for k in range(footer.num_columns)}["id"]
+    assert held.statistics.min is not None and held.statistics.max < 200
+
+
+def test_floor_ends_the_memory_of_deletions(spark, tmp_path):
+    users = _users(tmp_path)
+    users.apply(_changes(spark, (1, 5, None, True), (2, 50, None, True), (3, 4, "old", False)), 0)
+    users.compact(spark, floor=10)
+    held = users._runs(spark, Manifest(users.path).current(spark))
+    assert {r.id for r in held.collect()} == {2, 3}
+    users.apply(_changes(spark, (1, 4, "too late", False), (2, 49, "late", False), (4, 10, "d", False)), 1)
+    assert bag(users.read(spark)) == {(3, 4, "old"): 1, (4, 10, "d"): 1}
+
+
+def test_two_writers_do_not_both_publish(spark, tmp_path):
+    manifest = Manifest(str(tmp_path / "t"))
+    start = manifest.current(spark)
+    manifest.publish(spark, start, {"a": 1}, [])
+    with pytest.raises(FileExistsError):
+        manifest.publish(spark, start, {"a": 2}, [])
+    assert manifest.current(spark).content["a"] == 1
+
+
+def test_null_keys_and_empty_batches(spark, tmp_path):
+    users = _users(tmp_path)
+    users.apply(_changes(spark).limit(0), 0)
+    assert users.read(spark).count() == 0
+    users.apply(_changes(spark, (None, 1, "n", False), (None, 2, "m", False)), 1)
+    assert bag(users.read(spark)) == {(None, 2, "m"): 1}
