@@ -82,7 +82,7 @@ def _upsert(spark, folder):
 
 def _quote_merge(spark, folder):
     path, checkpoint = new_folder(spark, "quotes"), new_folder(spark, "checkpoint")
-    quotes.open_quotes(spark, path)
+    quotes.open_quotes(spark, path, buckets=1)  # a date's quotes are few
     quotes.add_quotes(ev.quotes(quote_messages(first_half(table(spark, folder, "events")))), path)
     quotes.stream_quotes(ev.quotes(quote_messages(stream_of(spark, folder, "events"))), path, checkpoint)
     return wide(quotes.read_quotes(spark, path))

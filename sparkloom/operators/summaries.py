@@ -61,13 +61,19 @@ def _label(fraction: float) -> str:
 
 
 def _classes(frame: DataFrame, names: list[str]) -> dict[str, list[str]]:
-    """Number columns by the type that holds all their values: bigint, double, or the decimal that they are."""
+    """Number columns by a type that holds all their values exactly.
+
+    Doubles hold floats, whole numbers up to 2^53 and decimals of up to 15 digits; other columns have their own type.
+    Runs one pass over the long columns.
+    """
+    long = [n for n in names if isinstance(frame.schema[n].dataType, T.LongType)]
+    bounds = frame.agg(*[F.struct(F.min(f"`{n}`"), F.max(f"`{n}`")) for n in long]).first() if long else ()
+    beyond = {n for n, ends in zip(long, bounds) if any(v is not None and abs(v) > 1 << 53 for v in ends)}
     out: dict[str, list[str]] = {}
     for name in names:
         kind = frame.schema[name].dataType
-        whole = isinstance(kind, T.IntegralType)
-        out.setdefault("bigint" if whole else "double" if isinstance(kind, T.FractionalType) and not isinstance(
-            kind, T.DecimalType) else kind.simpleString(), []).append(name)
+        own = name in beyond or isinstance(kind, T.DecimalType) and kind.precision > 15
+        out.setdefault(kind.simpleString() if own else "double", []).append(name)
     return out
 
 
@@ -76,10 +82,10 @@ def profile_quantiles(frame: DataFrame, columns: list[str] | None = None,
     """Minimum, chosen quantiles and maximum of every number column, found among the values themselves.
 
     A quantile is the smallest value that at least this fraction of the values does not exceed; nulls do not count.
-    Values are counted and sorted in their column's own type; they are returned as doubles, or `as_text` with all
-    their digits. Equal values of a column are counted first and written once. The counts are sorted by ranges of
+    Values are counted and sorted without loss; they are returned as doubles, or `as_text` with all their digits, as
+    texts of the column's type. Equal values of a column are counted first and written once. The counts are sorted by ranges of
     (column, value); the sum of each range says where a rank falls, and only running sums within ranges are needed to
-    find it, so no column meets in one task. Columns are named after the percentage, such as `p25`. Runs two jobs at once.
+    find it, so no column meets in one task. Columns are named after the percentage, such as `p25`. Runs three jobs at once.
     """
     names = [n for n in (columns or frame.columns) if _is_number(frame, n)]
     labels, kind = [_label(fraction) for fraction in fractions], "string" if as_text else "double"
@@ -107,10 +113,21 @@ def profile_quantiles(frame: DataFrame, columns: list[str] | None = None,
     reached = [("min", F.lit(True)), *[(label, F.col("upto") >= F.ceil(F.lit(fraction) * F.col("total")))
                                        for fraction, label in zip(fractions, labels)],
                ("max", F.col("upto") >= F.col("total"))]
-    found = [F.coalesce(*[F.min(F.when(test, F.col(v))).cast(kind) for v in values]).alias(label) for label, test in reached]
+    found = [F.struct(*[F.min(F.when(test, F.col(v))).alias(v) for v in values]).alias(label) for label, test in reached]
     seen = placed.groupBy("column").agg(*found)
     every = frame.sparkSession.createDataFrame([(n,) for n in names], "column string")
-    return every.join(seen, "column", "left")
+
+    def shown(label: str) -> Column:
+        if not as_text:
+            return F.coalesce(*[F.col(label)[v].cast("double") for v in values]).alias(label)
+        of = F.lit(None).cast("string")
+        for held, members in classes.items():
+            for name in members:
+                of = F.when(F.col("column") == name, F.col(label)[fields[held]].cast(
+                    frame.schema[name].dataType).cast("string")).otherwise(of)
+        return of.alias(label)
+
+    return every.join(seen, "column", "left").select("column", *[shown(label) for label, _ in reached])
 
 
 def profile_sketch(frame: DataFrame, columns: list[str] | None = None,

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
 from sparkloom.streaming.runner import prepared
 
+IDLE = "300ms"  # without new data for so long, a query counts as idle
 PROGRESS = "batch_id long, input_rows long, milliseconds long, started string"
 
 
@@ -60,9 +61,11 @@ def run_until_idle(spark: SparkSession, writer: DataStreamWriter, checkpoint: st
     A failed query raises. After `timeout` seconds the query is stopped as it is; the next run goes on from the
     checkpoint.
     """
-    log, limit = BatchLog(), time.monotonic() + timeout
+    log, limit, pause = BatchLog(), time.monotonic() + timeout, "spark.sql.streaming.noDataProgressEventInterval"
     spark.streams.addListener(log)
+    usual = spark.conf.get(pause)
     try:
+        spark.conf.set(pause, IDLE)  # a query takes the setting with it when it starts
         query = prepared(writer, checkpoint, every).start()
         log.query_id = str(query.id)
         try:
@@ -77,6 +80,7 @@ def run_until_idle(spark: SparkSession, writer: DataStreamWriter, checkpoint: st
             query.stop()
         log.ended.wait(10)
     finally:
+        spark.conf.set(pause, usual)
         spark.streams.removeListener(log)
     batches = {row[0]: row for row in [*early, *[row for row in log.take() if row[1]]]}
     return spark.createDataFrame([batches[number] for number in sorted(batches)], PROGRESS)

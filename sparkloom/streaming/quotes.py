@@ -16,21 +16,21 @@ from sparkloom.streaming.manifest import Manifest
 from sparkloom.streaming.runner import for_each_batch
 from sparkloom.workspace import passing
 
-BUCKETS = 4  # of symbols, fixed for the life of a table
+BUCKETS = 4  # of symbols, unless the table was opened with another number
 MISSING = "none"  # the folder of quotes without a date
 
 
-def open_quotes(spark: SparkSession, path: str) -> None:
-    """Publish an empty table, if there is none yet."""
+def open_quotes(spark: SparkSession, path: str, buckets: int = BUCKETS) -> None:
+    """Publish an empty table, if there is none yet; the number of buckets of a date never changes."""
     manifest = Manifest(path)
     if manifest.current(spark).number < 0:
-        manifest.publish(spark, manifest.current(spark), {"parts": {}}, [])
+        manifest.publish(spark, manifest.current(spark), {"parts": {}, "buckets": buckets}, [])
 
 
-def _placed(quotes: DataFrame) -> DataFrame:
+def _placed(quotes: DataFrame, buckets: int) -> DataFrame:
     return quotes.withColumns({
         "quote_day": F.coalesce(F.col("date").cast("string"), F.lit(MISSING)),
-        "quote_bucket": F.pmod(F.xxhash64("symbol"), F.lit(BUCKETS)).cast("int")})
+        "quote_bucket": F.pmod(F.xxhash64("symbol"), F.lit(buckets)).cast("int")})
 
 
 def _read(spark: SparkSession, path: str, parts: dict[str, dict[str, int]]) -> DataFrame:
@@ -55,12 +55,13 @@ def add_quotes(new: DataFrame, path: str) -> None:
     no row. The batch is written to the shared folder for as long as this runs.
     """
     spark, manifest = new.sparkSession, Manifest(path)
-    with passing(_placed(new.select(*_names()).distinct()), "quotes") as fresh:
+    before = manifest.current(spark)
+    buckets = before.content.get("buckets", BUCKETS)
+    with passing(_placed(new.select(*_names()).distinct(), buckets), "quotes") as fresh:
         touched = [(row["quote_day"], str(row["quote_bucket"])) for row in
                    fresh.select("quote_day", "quote_bucket").distinct().collect()]  # folders of one batch
         if not touched:
             return
-        before = manifest.current(spark)
         parts, retired, old = dict(before.content.get("parts", {})), [], {}
         number = before.number + 1
         for day, bucket in touched:
@@ -69,10 +70,10 @@ def add_quotes(new: DataFrame, path: str) -> None:
                 old.setdefault(day, {})[bucket] = was
                 retired.append(f"v{was}/quote_day={day}/quote_bucket={bucket}")
             parts[day] = {**parts.get(day, {}), bucket: number}
-        whole = _placed(_read(spark, path, old).unionByName(fresh.select(*_names())).distinct())
+        whole = _placed(_read(spark, path, old).unionByName(fresh.select(*_names())).distinct(), buckets)
         (whole.hint("rebalance", "quote_day", "quote_bucket").write.mode("overwrite")
          .option("partitionOverwriteMode", "static").partitionBy("quote_day", "quote_bucket").parquet(f"{path}/v{number}"))
-        manifest.publish(spark, before, {"parts": parts}, retired)
+        manifest.publish(spark, before, {"parts": parts, "buckets": buckets}, retired)
 
 
 def _names() -> list[str]:
