@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sparkloom.llm.common import documents_of, outer_id, sliced
-from sparkloom.llm.tokens import PackedWords, Vocabulary, packed_ids, vocabulary_at
+from sparkloom.llm.common import BoundedMemory, documents_of, kept, outer_id, sliced
+from sparkloom.llm.tokens import Vocabulary, packed_ids, packed_words, vocabulary_at
 
 SHORT = 256
 NONE = 1 << 60
@@ -69,9 +69,9 @@ def encode_word(vocabulary: Vocabulary, word: bytes) -> list[int]:
     return merge_short(vocabulary, parts) if len(parts) <= SHORT else merge_long(vocabulary, parts)
 
 
-@functools.lru_cache(maxsize=2)
-def _remembered(path: str) -> PackedWords:
-    return PackedWords(functools.partial(encode_word, vocabulary_at(path)))
+def _remembered(path: str) -> BoundedMemory:
+    return kept(f"tokens of {path}", "merged words",
+                lambda: packed_words(functools.partial(encode_word, vocabulary_at(path))))
 
 
 def decode_ids(vocabulary: Vocabulary, ids: np.ndarray) -> str:

@@ -10,7 +10,7 @@ Conventions that hold for every operator here, unless its docstring says otherwi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOWEST = -(2**63)
-BATCH_BYTES, DEFAULT_BATCH = 16 << 20, "67108864b"  # the second as Spark shows its default
+ENTRY = 220  # bytes of a dictionary entry with its two objects, besides their contents
+BATCH_BYTES, DEFAULT_BATCH = 8 << 20, "67108864b"  # the second as Spark shows its default
 
 
 def bounded_batches(spark: SparkSession, most_bytes: int = BATCH_BYTES) -> None:
@@ -28,6 +29,50 @@ def bounded_batches(spark: SparkSession, most_bytes: int = BATCH_BYTES) -> None:
         spark.conf.set(name, str(most_bytes))
 
 
+_KEPT: dict = {}
+
+
+def kept(group: str, key: object, make: Callable[[], object]):
+    """What a Python process keeps between batches for one group of operators; what it kept for another is dropped.
+
+    Processes outlive queries and serve all of them, so without this each would gather the memories of all operators.
+    """
+    if _KEPT.get("group") != group:
+        _KEPT.clear()
+        _KEPT["group"] = group
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+class BoundedMemory(dict):
+    """A memory of `make(key)` that forgets all when its entries come to about `most_bytes`."""
+
+    def __init__(self, make: Callable, most_bytes: int):
+        super().__init__()
+        self._make, self._most, self._held = make, most_bytes, 0
+
+    def __missing__(self, key):
+        value = self._make(key)
+        self._held += len(key) + (len(value) if isinstance(value, bytes) else 0) + ENTRY
+        if self._held > self._most:
+            self.clear()
+            self._held = len(key) + ENTRY
+        self[key] = value
+        return value
+
+
+def free_names(frame: DataFrame, *wanted: str) -> list[str]:
+    """Names for columns of our own beside the caller's, which may be called anything (case does not count)."""
+    taken, out = {name.lower() for name in frame.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def documents_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns every operator reads, as `doc_id` (never null) and `text` (never null)."""
     bounded_batches(docs.sparkSession)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import documents_of, outer_id, sliced
+from sparkloom.llm.common import BoundedMemory, documents_of, kept, outer_id, sliced
 from sparkloom.llm.components import components
 from sparkloom.workspace import written
 
@@ -41,17 +41,13 @@ BITMAP = 4  # longs
 
 # ---------------------------------------------------------------- sets of a text
 
-class _Words(dict):
-    """Word to a 64-bit hash; forgets all when it is full."""
+MEMORY = 48 << 20  # bytes of words that a process remembers
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 250_000:
-            self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return value
+
+def _word_hash(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
 
-_WORDS = _Words()
 _MIX = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -70,7 +66,8 @@ def shingle_set(text: str, width: int) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    codes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    known = kept("shingles", "words", lambda: BoundedMemory(_word_hash, MEMORY))
+    codes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     span = min(width, len(words))
     grams = np.full(len(words) - span + 1, span, np.uint64)
     for k in range(span):

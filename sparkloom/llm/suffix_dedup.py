@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm.collection_bwt import repeated_starts
-from sparkloom.llm.common import LOWEST, documents_of, outer_id, sliced
+from sparkloom.llm.common import LOWEST, BoundedMemory, bounded_batches, documents_of, free_names, kept, outer_id, sliced
 from sparkloom.workspace import written
 
 GRAM = 128
@@ -41,17 +41,12 @@ CODE = 6  # bytes of a word's code
 _FACTOR = 0x9E3779B97F4A7C15 | 1
 
 
-class _Codes(dict):
-    """Word to a code of CODE ASCII characters, 7 bits of its hash each; forgets all when it is full."""
+MEMORY = 24 << 20  # bytes of words that a process remembers
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= 100_000:
-            self.clear()
-        code = self[word] = bytes(b & 127 for b in hashlib.blake2b(word, digest_size=CODE).digest())
-        return code
 
-
-_CODES = _Codes()
+def _code(word: bytes) -> bytes:
+    """CODE ASCII characters, 7 bits of the word's hash each."""
+    return bytes(b & 127 for b in hashlib.blake2b(word, digest_size=CODE).digest())
 
 
 def utf8(text: str) -> bytes:
@@ -60,7 +55,8 @@ def utf8(text: str) -> bytes:
 
 def word_codes(text: str) -> bytes:
     """The codes of the words one after another; words are runs of bytes other than space and \\x09-\\x0D."""
-    return b"".join(map(_CODES.__getitem__, utf8(text).split()))
+    known = kept("word codes", "codes", lambda: BoundedMemory(_code, MEMORY))
+    return b"".join(map(known.__getitem__, utf8(text).split()))
 
 
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
@@ -379,16 +375,17 @@ def cut_rows(docs: DataFrame, width: int = 400, id_col: str = "doc_id", text_col
         return pd.Series([text if found is None else shorter(text, found) for text, found in zip(texts, runs)],
                          dtype=object)
 
-    keyed = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)),
-                              "__mark": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
-    marked = keyed.select(F.col("__id").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                          F.col("__mark").alias("mark"))
+    bounded_batches(docs.sparkSession)
+    own, mark, found = free_names(docs, "__id", "__mark", "__runs")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.withColumns({own: F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)), mark: F.xxhash64(text)})
+    marked = keyed.select(F.col(own).alias("doc_id"), text.alias("text"), F.col(mark).alias("mark"))
     windows = repeated_windows(marked, width, **options).withColumn("coded", F.lit(False))
     if words:
         windows = windows.unionByName(repeated_windows(marked, words * CODE, raw_of=word_codes, **options)
                                       .withColumn("coded", F.lit(True)))
     runs = (windows.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("coded", "from", "to")))
-            .toDF("__id", "__mark", "__runs"))
-    joined = keyed.join(runs, ["__id", "__mark"], "left")
-    return joined.withColumn(text_col, F.when(F.col("__runs").isNull(), F.col(text_col)).otherwise(
-        shortened(F.col(text_col), F.col("__runs")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+            .toDF(own, mark, found))
+    joined = keyed.join(runs, [own, mark], "left")
+    return joined.withColumn(text_col, F.when(F.col(found).isNull(), F.col(text_col)).otherwise(
+        shortened(F.col(text_col), F.col(found)))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import documents_of, outer_id, sliced
+from sparkloom.llm.common import documents_of, kept, outer_id, sliced
 from sparkloom.llm.tokens import Vocabulary, vocabulary_at, word_bytes
 
 REMEMBERED = 400_000
@@ -84,9 +84,8 @@ def surviving(table: RankTable, words: list[bytes]) -> np.ndarray:
     return counts
 
 
-@functools.lru_cache(maxsize=2)
 def _state(path: str) -> tuple[RankTable, dict[str, int]]:
-    return RankTable(vocabulary_at(path)), {}
+    return kept(f"tokens of {path}", "counts", lambda: (RankTable(vocabulary_at(path)), {}))
 
 
 def count_texts(path: str, texts: list[str]) -> list[int]:

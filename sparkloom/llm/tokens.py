@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import json
 import re
 import struct
@@ -10,6 +9,8 @@ from collections.abc import Callable, Iterable
 
 from tokenizers import Tokenizer
 
+from sparkloom.llm.common import BoundedMemory, kept
+
 # Letters, numbers and white space among the first 256 code points.
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 NUMBERS = "0-9²³¹¼½¾"
@@ -99,45 +100,44 @@ def word_bytes(word: str) -> bytes:
     return word.encode("utf-8", "surrogateescape")
 
 
-class PackedWords(dict):
-    """Pre-token to its identifiers as little-endian unsigned 32-bit integers; forgets all when it is full."""
+MEMORY = 64 << 20  # bytes of pre-tokens that a process remembers
+
 
-    def __init__(self, encode: Callable[[bytes], list[int]], most: int = 400_000):
-        super().__init__()
-        self.encode, self.most = encode, most
+def packed_words(encode: Callable[[bytes], list[int]]) -> BoundedMemory:
+    """Pre-token to its identifiers as little-endian unsigned 32-bit integers."""
+    def packed(word: str) -> bytes:
+        ids = encode(word_bytes(word))
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        ids = self.encode(word_bytes(word))
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        self[word] = packed
-        return packed
+    return BoundedMemory(packed, MEMORY)
 
 
-def packed_ids(vocabulary: Vocabulary, words: PackedWords, text: str) -> bytes:
+def packed_ids(vocabulary: Vocabulary, words: BoundedMemory, text: str) -> bytes:
     """All identifiers of a text, packed."""
     out = [struct.pack("<I", special) if special is not None else b"".join(map(words.__getitem__, found))
            for special, found in vocabulary.pieces(text)]
     return out[0] if len(out) == 1 else b"".join(out)
 
 
-@functools.lru_cache(maxsize=2)
 def vocabulary_at(path: str) -> Vocabulary:
-    """The vocabulary of a file, read once in a Python process."""
-    return Vocabulary(path)
+    """The vocabulary of a file, read once in a Python process while it works with that file."""
+    return kept(f"tokens of {path}", "vocabulary", lambda: Vocabulary(path))
 
 
-@functools.lru_cache(maxsize=2)
-def library_words(path: str) -> PackedWords:
+def library_words(path: str) -> BoundedMemory:
     """Pre-token memory that asks a public BPE library; for operators whose method is not the merging."""
+    return kept(f"tokens of {path}", "library words", lambda: _library_words(vocabulary_at(path)))
+
+
+def _library_words(vocabulary: Vocabulary) -> BoundedMemory:
     import tiktoken
 
-    vocabulary = vocabulary_at(path)
     if vocabulary.suffix:
-        raise ValueError(f"{path}: only vocabularies without word ends")
+        raise ValueError("only vocabularies without word ends")
     special = set(vocabulary.special.values())
     ranks = {bytes(vocabulary.byte_of[c] for c in token): number for number, token in enumerate(vocabulary.tokens)
              if number not in special}
     library = tiktoken.Encoding("own", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={})
-    return PackedWords(library._core_bpe.encode_single_piece)
+    # The whole of a piece is encoded, whatever pattern splits texts; the public way for it is private in some releases.
+    single = getattr(getattr(library, "_core_bpe", None), "encode_single_piece", None)
+    return packed_words(single or (lambda word: library._encode_single_piece(word)))

@@ -77,7 +77,7 @@ def test_run_equals_brute_force(spark, tables):
 
 
 def test_every_operator_is_registered():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
     assert [f for _, f in corpus_pipeline.STAGES][1:4] == [corpus_pipeline.exact, corpus_pipeline.near,
                                                            corpus_pipeline.repeats]
 

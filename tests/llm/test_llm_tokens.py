@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from sparkloom.llm import bpe_codec, token_counts, token_store, tokens
+from sparkloom.llm import bpe_codec, common, token_counts, token_store, tokens
 from tests.llm.llm_data import awkward, awkward_texts, collected, nothing
 
 WORDS, BYTES = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -47,9 +47,16 @@ def test_short_and_long_words_merge_alike(text):
 
 
 def test_memory_is_bounded():
-    known = tokens.PackedWords(lambda word: [len(word)], most=3)
-    assert [known["a" * k] for k in range(1, 9)] == [k.to_bytes(4, "little") for k in range(1, 9)]
-    assert len(known) <= 3
+    known = common.BoundedMemory(lambda word: len(word).to_bytes(4, "little"), 4 * common.ENTRY)
+    assert [known["a" * k] for k in range(1, 90)] == [k.to_bytes(4, "little") for k in range(1, 90)]
+    assert 1 <= len(known) <= 3
+    assert known["a" * 10_000] and known["b"] and len(known) <= 2  # a long entry leaves no room for others
+
+
+def test_a_process_keeps_one_memory():
+    first = common.kept("a", "x", list)
+    assert common.kept("a", "x", list) is first and common.kept("a", "y", dict) == {}
+    assert common.kept("b", "x", list) is not first and "y" not in common._KEPT
 
 
 def test_counts(spark):
