@@ -202,11 +202,12 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 0, segme
                  id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the tokens of each row and an end token, in ascending order of the identifier (null first).
 
-    Rows with one identifier are ordered by a hash of their text. The table has a row for each segment:
+    Rows with one identifier are ordered by a hash of their text, and ranges are cut by both, so that rows without
+    an identifier, or with a shared one, go to as many parts as others. The table has a row for each segment:
     (part, segment, n_tokens, payload); parts, and segments within them, follow the order of identifiers.
     """
-    ordered = (documents_of(docs, id_col, text_col).repartitionByRange("doc_id")
-               .sortWithinPartitions("doc_id", F.xxhash64("text")))
+    ordered = (documents_of(docs, id_col, text_col).withColumn("place", F.xxhash64("text"))
+               .repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place").select("doc_id", "text"))
     ordered.mapInArrow(functools.partial(_write, path, end_id, segment_tokens),
                        "part int, segment int, n_tokens long, payload binary").write.parquet(folder)
 
