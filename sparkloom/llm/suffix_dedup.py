@@ -36,6 +36,7 @@ from sparkloom.workspace import written
 GRAM = 128
 BLOCK = 1 << 20  # bytes of strings in a transform
 MOST = 1000  # different strings of an anchor before it is refined
+STRETCH = 1 << 18  # windows of a text that are worked on at once
 RANGES = (64, 8, 1)  # widths of the ranges of refinement
 CODE = 6  # bytes of a word's code
 _FACTOR = 0x9E3779B97F4A7C15 | 1
@@ -84,25 +85,31 @@ def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
 def anchors_of(data: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, place, first window, last window) of the anchors of a text, in order; windows by their start.
 
-    The anchor of a window is the place in it with the smallest hash, the first one of several.
+    The anchor of a window is the place in it with the smallest hash, the first one of several. Hashes count without
+    their lowest bits, the same for every text. Windows are worked on in stretches, so a long text needs little more
+    than its anchors.
     """
-    if len(data) < width:
+    count, span = len(data) - width + 1, width - gram + 1
+    if count <= 0:
         return (np.empty(0, np.uint64), *(np.empty(0, np.int64),) * 3)
-    hashes = gram_hashes(data, gram)
     # The high bits of the hash and the place make one number, so that the least says where it stands.
-    bits = max(1, int(len(hashes)).bit_length())
-    low = np.uint64((1 << bits) - 1)
-    least = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
-    span, have = width - gram + 1, 1
-    while 2 * have <= span:
-        least = np.minimum(least[:-have], least[have:])
-        have *= 2
-    if have < span:
-        least = np.minimum(least[:len(least) - (span - have)], least[span - have:])
-    places = (least & low).astype(np.int64)
-    first = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
-    last = np.r_[first[1:], len(places)] - 1
-    return hashes[places[first]], places[first], first, last
+    low = np.uint64((1 << (STRETCH + width).bit_length()) - 1)
+    found: list[tuple[np.ndarray, ...]] = []
+    before = -1
+    for start in range(0, count, STRETCH):
+        hashes = gram_hashes(data[start:start + STRETCH + width - 1], gram)
+        least, have = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), 1
+        while 2 * have <= span:
+            least = np.minimum(least[:-have], least[have:])
+            have *= 2
+        if have < span:
+            least = np.minimum(least[:len(least) - (span - have)], least[span - have:])
+        places = (least & low).astype(np.int64)
+        first = np.flatnonzero(np.r_[start + places[0] != before, places[1:] != places[:-1]])
+        before = start + int(places[-1])
+        found.append((hashes[places[first]], start + places[first], start + first))
+    hashes, places, first = map(np.concatenate, zip(*found))
+    return hashes, places, first, np.r_[first[1:], count] - 1
 
 
 ANCHORS = "anchor long, doc_id long, mark long, first long, ahead int, size int, times int"
@@ -118,9 +125,10 @@ def _once(raw: bytes, found: tuple[np.ndarray, ...], width: int) -> tuple[np.nda
     ahead, size = places - first, last - first + 1
     same = np.flatnonzero((hashes[1:] == hashes[:-1]) & (ahead[1:] == ahead[:-1]) & (size[1:] == size[:-1])) + 1
     heads = np.ones(len(hashes), bool)
-    for k in same.tolist():
-        a, b, length = int(first[k - 1]), int(first[k]), int(size[k]) - 1 + width
-        heads[k] = raw[a:a + length] != raw[b:b + length]
+    for some in range(0, len(same), STRETCH):
+        for k in same[some:some + STRETCH].tolist():
+            a, b, length = int(first[k - 1]), int(first[k]), int(size[k]) - 1 + width
+            heads[k] = raw[a:a + length] != raw[b:b + length]
     kept = np.flatnonzero(heads)
     times = np.diff(np.r_[kept, len(hashes)])
     return hashes[kept], first[kept], ahead[kept], size[kept], times
@@ -230,9 +238,10 @@ def _repeated(rows: DataFrame, texts: Callable[[DataFrame], DataFrame], width: i
     found = strings.where("n > 1").select("anchor", "sig", F.lit(0).alias("from"), F.col("size").alias("to"))
     several = written(texts(strings.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1")), "suffix-strings")
     limit = most[0] if ranges else None
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if limit is None or limit > 1:
         runs = (several.where(F.col("k") <= limit if limit else F.lit(True)).select("anchor", "sig", "bytes")
-                .repartition("anchor").sortWithinPartitions("anchor")
+                .repartition(tasks, "anchor").sortWithinPartitions("anchor")  # few bytes are much work: not merged
                 .mapInArrow(functools.partial(_found, width, block), "anchor long, sig binary, from int, to int"))
         found = found.unionByName(runs)
     if limit is None:
