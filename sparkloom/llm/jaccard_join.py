@@ -41,7 +41,7 @@ BITMAP = 4  # longs
 
 # ---------------------------------------------------------------- sets of a text
 
-MEMORY = 48 << 20  # bytes of words that a process remembers
+MEMORY = 56 << 20  # bytes of words that a process remembers
 
 
 def _word_hash(word: bytes) -> int:

@@ -173,10 +173,13 @@ def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length") ->
     pieces = pieces.drop("sequence_id", "offset")
     length = F.col(length_col).cast("long")
     names = [f"__c{k}" for k in range(len(pieces.columns))]  # whatever the caller's names are
+    # Maps have no hash; rows that differ in them alone are dealt as equal ones are.
+    hashable = [n for n, f in zip(names, pieces.schema.fields) if "map<" not in f.dataType.simpleString()
+                and "variant" not in f.dataType.simpleString()]
     spark = pieces.sparkSession
     salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     stored = written(pieces.withColumn("__length", length).toDF(*names, "__length")
-                     .withColumn("__order", F.xxhash64(*names)), "pieces")
+                     .withColumn("__order", F.xxhash64(*hashable) if hashable else F.lit(0).cast("long")), "pieces")
     salted = stored.withColumn("__salt", F.pmod("__order", F.lit(salts)))
     counted = salted.groupBy("__length").count().collect()  # one row for each length, `capacity` at most
     runs, _ = plan({row["__length"] or 0: row["count"] for row in counted}, capacity)

@@ -100,7 +100,7 @@ def word_bytes(word: str) -> bytes:
     return word.encode("utf-8", "surrogateescape")
 
 
-MEMORY = 64 << 20  # bytes of pre-tokens that a process remembers
+MEMORY = 96 << 20  # bytes of pre-tokens that a process remembers
 
 
 def packed_words(encode: Callable[[bytes], list[int]]) -> BoundedMemory:

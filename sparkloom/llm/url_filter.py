@@ -10,6 +10,7 @@ is still open there is a prefix of the range's first key, and is found by a join
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -79,7 +80,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
         .select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
                 F.monotonically_increasing_id().alias("row")), "pages")
     known = (rules.where(F.col("host").isNotNull() & F.col("path").isNotNull())
-             .groupBy(F.lower("host").alias("host"), "path").agg(F.min("verdict").alias("verdict"))
+             .groupBy(F.translate("host", string.ascii_uppercase, string.ascii_lowercase).alias("host"), "path").agg(F.min("verdict").alias("verdict"))
              .select("host", "path", "verdict", F.reverse(F.split("host", r"\.")).alias("labels")))
     deepest = known.agg(F.max(F.size("labels"))).first()[0] or 0
     opening = known.select(

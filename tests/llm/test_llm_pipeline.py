@@ -1,7 +1,12 @@
 import random
+import re
+import struct
+import zlib
 from collections import Counter
 
+import public_tokenizers
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from sparkloom.llm import quality_rules, suffix_dedup
@@ -69,13 +74,40 @@ def test_run_equals_brute_force(spark, tables):
     alone = {doc for doc, _, group in brute_groups(docs, 5, 80) if doc == group}
     docs = [d for d in docs if d["doc_id"] in alone]
     out = collected(corpus_pipeline.run(spark, tables))
-    assert {r["doc_id"] for r in out} == alone
-    bytes_left = sum(len(kept) for _, _, kept in brute_cut([d["text"] or "" for d in docs], 400))
+    library, want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), Counter()
+    for d, left in zip(docs, brute_left([d["text"] or "" for d in docs], 400, 51)):
+        ids = [*library.encode(left, add_special_tokens=False).ids, 0]
+        cuts = [0, *range(len(ids) % 2048 or 2048, len(ids) + 1, 2048)]
+        for piece, (start, stop) in enumerate(zip(cuts, cuts[1:])):
+            packed = struct.pack(f"<{stop - start}I", *ids[start:stop])
+            want[d["doc_id"], piece, start, stop - start, zlib.crc32(packed)] += 1
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in out) == want
+    assert {key[0] for key in want} == alone
     tokens = sum(r["length"] for r in out)
-    assert len(alone) < tokens < bytes_left + len(alone)
     assert len({r["sequence_id"] for r in out}) <= 1 + -(-tokens // 2048) * 1.02
 
 
+def brute_left(texts, width, words):
+    """What is left of each text without repeated strings of `width` bytes and repeated passages of `words` words."""
+    raws = [text.encode() for text in texts]
+    found = [[m.span() for m in re.finditer(rb"[^ \t-\r]+", raw)] for raw in raws]
+    strings = Counter(raw[k:k + width] for raw in raws for k in range(len(raw) - width + 1))
+    passages = Counter(tuple(raw[a:b] for a, b in places[k:k + words])
+                       for raw, places in zip(raws, found) for k in range(len(places) - words + 1))
+    out = []
+    for raw, places in zip(raws, found):
+        gone = bytearray(len(raw))
+        for k in range(len(raw) - width + 1):
+            if strings[raw[k:k + width]] > 1:
+                gone[k:k + width] = b"\1" * width
+        for k in range(len(places) - words + 1):
+            if passages[tuple(raw[a:b] for a, b in places[k:k + words])] > 1:
+                first, last = places[k][0], places[k + words - 1][1]
+                gone[first:last] = b"\1" * (last - first)
+        out.append(bytes(b for b, g in zip(raw, gone) if not g).decode("utf-8", "ignore"))
+    return out
+
+
 def test_every_operator_is_registered():
     assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
     assert [f for _, f in corpus_pipeline.STAGES][1:4] == [corpus_pipeline.exact, corpus_pipeline.near,
