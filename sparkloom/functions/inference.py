@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,33 +74,44 @@ def infer_json(strings: DataFrame, column: str, most_fields: int = MOST_FIELDS)
 
     The same holds at every depth. Numbers that mix are widened (bigint, decimal without fraction, double), other
     mixtures and paths that are always null are text, fractions are doubles; texts that are no JSON are left out.
-    An empty object is a struct without fields. Names must not hold the character 1. Runs one job a level of nesting; the driver gets a row for each path, `MOST_PATHS` at most, and a map
-    has one.
+    An empty object is a struct without fields. Names must not hold the character 1. Runs one job a level of nesting,
+    and one more where it has maps; the driver gets a row for each path, `MOST_PATHS` at most, and a map has one.
     """
+    kind = F.regexp_extract(F.schema_of_variant("v"), r"^(DECIMAL\(\d+,\s*\d+\)|[A-Z]+)", 1)
+    nested = {"OBJECT", "ARRAY"}
     level = strings.select(F.lit("").alias("path"), F.try_parse_json(column).alias("v")).where("v IS NOT NULL")
-    kinds: dict[str, set[str]] = {}
+    kinds = {"": set(level.agg(F.collect_set(kind)).first()[0])}
     steps: dict[str, list[str]] = {}
-    while True:
-        kind = F.regexp_extract(F.schema_of_variant("v"), r"^(DECIMAL\(\d+,\s*\d+\)|[A-Z]+)", 1)
-        met = level.groupBy("path").agg(F.collect_set(kind).alias("kinds")).collect()  # bounded by MOST_PATHS, below
-        for row in met:
-            kinds[row["path"]] = set(row["kinds"])
-        if not any({"OBJECT", "ARRAY"} & set(row["kinds"]) for row in met):
-            return _built("", kinds, steps)
+    last = kinds[""]
+    while last & nested:
         below = _children(level)
-        names = below.groupBy("path", "step").agg(F.count("*").alias("n"))
-        sizes = names.groupBy("path").agg(F.count("*").alias("n"), F.max("step").alias("last"))
-        wide, narrow = [], []
-        for row in sizes.collect():
-            fields = row["n"] - (row["last"] == _ITEM)  # brackets come after fields
-            (wide if fields > most_fields else narrow).append(row["path"])
-        for path in wide:
-            steps[path] = [_ENTRY]
-        if narrow:
-            for row in names.where(F.col("path").isin(narrow)).collect():
-                if row["step"] != _ITEM:
-                    steps.setdefault(row["path"], []).append(row["step"])
-        if len(kinds) + sum(map(len, steps.values())) > MOST_PATHS:
+        met = below.groupBy("path", "step").agg(F.collect_set(kind).alias("kinds"))
+        # One name more than a struct may have says that it is a map; the step into an array comes first.
+        order = Window.partitionBy("path").orderBy(F.col("step") != _ITEM, "step")
+        listed = (met.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most_fields + 2)
+                  .limit(MOST_PATHS + 1).collect())
+        if len(kinds) + len(listed) > MOST_PATHS:
             raise ValueError(f"more than {MOST_PATHS} paths: lower most_fields")
+        fields: dict[str, list] = {}
+        last = set()
+        for row in listed:
+            if row["step"] == _ITEM:
+                kinds[row["path"] + _ITEM] = set(row["kinds"])
+                last |= set(row["kinds"])
+            else:
+                fields.setdefault(row["path"], []).append(row)
+        wide = [path for path, own in fields.items() if len(own) > most_fields]
+        for path, own in fields.items():
+            if path not in wide:
+                steps[path] = [row["step"] for row in own]
+                kinds.update({path + row["step"]: set(row["kinds"]) for row in own})
+                last = last.union(*[row["kinds"] for row in own])
         in_map = F.col("path").isin(wide) & (F.col("step") != _ITEM) if wide else F.lit(False)
-        level = below.select(F.concat("path", F.when(in_map, F.lit(_ENTRY)).otherwise(F.col("step"))).alias("path"), "v")
+        if wide:
+            for row in below.where(in_map).groupBy("path").agg(F.collect_set(kind).alias("kinds")).collect():
+                steps[row["path"]] = [_ENTRY]
+                kinds[row["path"] + _ENTRY] = set(row["kinds"])
+                last |= set(row["kinds"])
+        level = below.where(kind.isin(*nested)).select(
+            F.concat("path", F.when(in_map, F.lit(_ENTRY)).otherwise(F.col("step"))).alias("path"), "v")
+    return _built("", kinds, steps)
