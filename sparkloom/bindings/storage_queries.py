@@ -56,10 +56,10 @@ def _json_split(spark, folder):
 
 def _many_keys(spark, folder):
     """Objects whose keys are identifiers come as one map."""
-    message = F.concat(F.lit('{"user-'), "user_id", F.lit('": {"last": '), "event_id", F.lit("}}"))
+    message = F.concat(F.lit('{"event-'), "event_id", F.lit('": {"user": '), "user_id", F.lit("}}"))
     strings = table(spark, folder, "events").select("event_id", message.alias("j"))
-    parsed = parse_json_strings(strings, "j", map_column="users", most_fields=50)
-    return parsed.select(F.explode("users").alias("name", "seen")).select("name", "seen.last")
+    parsed = parse_json_strings(strings, "j", map_column="events", most_fields=50)
+    return parsed.select(F.explode("events").alias("name", "seen")).select("name", "seen.user")
 
 
 QUERIES = {
@@ -75,5 +75,5 @@ ORACLES = {
     "csv_split_hard": """SELECT doc_id, source || ', "' || lang || '"' AS label,
         CASE WHEN lang = 'de' THEN '' WHEN lang <> 'fr' THEN text END AS text FROM documents""",
     "json_documents_split": "SELECT * REPLACE (c_nationkey::bigint AS c_nationkey) FROM customer",
-    "json_strings_map": "SELECT 'user-' || user_id AS name, event_id AS last FROM events",
+    "json_strings_map": "SELECT 'event-' || event_id AS name, user_id AS \"user\" FROM events",
 }
