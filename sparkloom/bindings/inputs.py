@@ -14,6 +14,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+FILE_BYTES = 64 << 20  # of a table's files that go into one file dealt from it
+
+
+def file_count(spark: SparkSession, folder: str, name: str, least: int, times: int = 1) -> int:
+    """How many files a table is dealt over: a multiple of `least`, each of `times` FILE_BYTES of the table at most.
+
+    A fixed number would leave each task a fixed share of a table of any size. Only the file listing is read.
+    """
+    sizes = spark.read.format("binaryFile").load(f"{folder}/{name}.parquet").select(F.sum("length"))
+    return least * max(1, -(-(sizes.first()[0] or 0) // (FILE_BYTES * times * least)))
+
+
 def wide(frame: DataFrame) -> DataFrame:
     """Integers as bigint, the one integer type the checks use."""
     narrow = (T.IntegerType, T.ShortType, T.ByteType)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkloom.bindings.inputs import CHANGED_ROW, change_messages, table, wide
+from sparkloom.bindings.inputs import CHANGED_ROW, change_messages, file_count, table, wide
 from sparkloom.bindings.stream_queries import stream_of
 from sparkloom.functions.messages import parse_json_strings
 from sparkloom.plans import events as ev
@@ -34,12 +34,12 @@ def _apply_changes(spark, folder):
 
 
 def _csv_split(spark, folder):
-    """Values with line breaks, in files that many tasks read."""
+    """Values with line breaks, in files that many tasks read: those of a large table are larger than a task's part."""
     path = new_folder(spark, "documents-csv")
     documents = table(spark, folder, "documents").select(
         "doc_id", F.concat("source", F.lit(', "'), "lang", F.lit('"')).alias("label"),
         F.when(F.col("lang") == "de", F.lit("")).when(F.col("lang") != "fr", F.col("text")).alias("text"))
-    sink.write_delimited(documents, path, files=2)
+    sink.write_delimited(documents, path, files=file_count(spark, folder, "documents", 2, 3))
     return records.read_delimited_split(spark, path, documents.schema)
 
 

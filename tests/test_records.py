@@ -1,9 +1,12 @@
 import json
 import random
+from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from sparkloom.bindings import QUERIES, inputs, storage_queries
 from sparkloom.functions.inference import infer_json
 from sparkloom.functions.messages import json_schema, parse_json_strings
 from sparkloom.sinks.files import write_delimited
@@ -49,6 +52,20 @@ def test_split_csv_equals_one_task(spark, tmp_path, small_ranges):
     assert [r.id for r in placed.orderBy("file", "start", "number").collect()] == [r[0] for r in hard_rows()]
 
 
+def test_split_csv_deals_a_larger_table_over_more_files(spark, tmp_path, monkeypatch):
+    texts = [(k, "web", "en", f"{random.Random(k).random()}\n{k}" * 9) for k in range(600)]
+    frame = spark.createDataFrame(texts, "doc_id long, source string, lang string, text string")
+    frame.repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    held = sum(file.stat().st_size for file in tmp_path.glob("documents.parquet/part-*"))
+    monkeypatch.setattr(inputs, "FILE_BYTES", held // 21, raising=False)  # files of a seventh of the table each
+    made, write = [], storage_queries.sink.write_delimited
+    monkeypatch.setattr(storage_queries.sink, "write_delimited",
+                        lambda frame, path, **options: (made.append(path), write(frame, path, **options)))
+    found = QUERIES["csv_split_hard"](spark, str(tmp_path))
+    assert bag(found) == Counter((k, 'web, "en"', text) for k, _, _, text in texts)
+    assert len(list(Path(made[0]).glob("part-*"))) == 8
+
+
 def test_split_csv_with_other_marks(spark, tmp_path, small_ranges):
     path = str(tmp_path / "csv")
     frame = spark.createDataFrame([(k, f"a$b\n{k}|{k}", None if k % 3 else "") for k in range(100)], SCHEMA)
