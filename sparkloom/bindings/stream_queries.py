@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkloom.bindings.event_queries import QUOTES_SQL, UNPACKED_SQL, first_half, unpacked
-from sparkloom.bindings.inputs import change_messages, click_messages, quote_messages, table, wide
+from sparkloom.bindings.inputs import change_messages, click_messages, file_count, quote_messages, table, wide
 from sparkloom.functions.messages import delimited_fields
 from sparkloom.plans import events as ev
 from sparkloom.plans.text import lines
@@ -25,19 +25,22 @@ BATCHES = 3
 
 
 def stream_of(spark, folder, name, batches=BATCHES):
-    """A whole table as a stream of several batches: its rows are dealt over files, and a batch takes one file."""
+    """A whole table as a stream of several batches: its rows are dealt over files, and a batch takes its share of
+    them, one file of a small table."""
     path, rows = new_folder(spark, f"{name}-in"), table(spark, folder, name)
-    rows.repartition(batches).write.parquet(path)
-    return stream_parquet(spark, path, rows.schema, files_per_batch=1)
+    files = file_count(spark, folder, name, batches)
+    rows.repartition(files).write.parquet(path)
+    return stream_parquet(spark, path, rows.schema, files_per_batch=files // batches)
 
 
 def _to_files(spark, folder):
     """The second run begins where the first one ended and finds the rest of the files."""
     path, checkpoint, source = (new_folder(spark, label) for label in ("events-out", "checkpoint", "events-in"))
-    events = table(spark, folder, "events")
+    events, files = table(spark, folder, "events"), file_count(spark, folder, "events", BATCHES)
     for step, predicate in enumerate(("event_type = 'click'", "event_type <> 'click'")):
-        events.where(predicate).repartition(BATCHES).write.parquet(f"{source}/step={step}")
-        to_parquet(stream_parquet(spark, f"{source}/*", events.schema, files_per_batch=1), path, checkpoint)
+        events.where(predicate).repartition(files).write.parquet(f"{source}/step={step}")
+        to_parquet(stream_parquet(spark, f"{source}/*", events.schema, files_per_batch=files // BATCHES), path,
+                   checkpoint)
     return spark.read.schema(events.schema).parquet(path)
 
 

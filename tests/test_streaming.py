@@ -9,6 +9,7 @@ from pyarrow import parquet
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from sparkloom.bindings import QUERIES, inputs, stream_queries
 from sparkloom.functions.messages import delimited_fields
 from sparkloom.plans.text import part_count
 from sparkloom.sources.files import stream_lines
@@ -16,7 +17,7 @@ from sparkloom.streaming import quotes, runner, word_counts
 from sparkloom.streaming.changes import ChangeTable
 from sparkloom.streaming.keyed import CLICK_SCHEMA, KeyedTable, click_rows, newest
 from sparkloom.streaming.manifest import Manifest
-from sparkloom.workspace import application_folder
+from sparkloom.workspace import application_folder, new_folder
 from tests.helpers import bag, plan, rows
 
 
@@ -319,3 +320,21 @@ def test_null_keys_and_empty_batches(spark, tmp_path):
     assert users.read(spark).count() == 0
     users.apply(_changes(spark, (None, 1, "n", False), (None, 2, "m", False)), 1)
     assert bag(users.read(spark)) == {(None, 2, "m"): 1}
+
+
+def test_a_larger_table_is_streamed_in_as_many_batches_of_more_files(spark, tmp_path, monkeypatch):
+    frame = spark.createDataFrame([(k, f"w{k % 7} {k}\n{k}") for k in range(700)], "doc_id long, text string")
+    frame.repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    held = sum(file.stat().st_size for file in tmp_path.glob("documents.parquet/part-*"))
+    for parts, files in ((1, 3), (7, 9)):
+        monkeypatch.setattr(inputs, "FILE_BYTES", held // parts + 1, raising=False)
+        made = []
+        monkeypatch.setattr(stream_queries, "new_folder", lambda *label: made.append(new_folder(*label)) or made[-1])
+        stream = stream_queries.stream_of(spark, str(tmp_path), "documents")
+        assert len(list(Path(made[0]).glob("part-*"))) == files
+        batches = []
+        runner.for_each_batch(stream, lambda batch, _: batches.append(batch.count()), str(tmp_path / f"check{parts}"))
+        assert len(batches) == 3 and sum(batches) == 700 and min(batches) > 200
+    counts = Counter(word for k in range(700) for word in (f"w{k % 7}", str(k), str(k)))
+    for name in ("stream_word_count_running", "stream_word_count_running_complete", "stream_word_count_from_state"):
+        assert bag(QUERIES[name](spark, str(tmp_path))) == Counter(counts.items())
