@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparkloom.llm import exact_dedup, jaccard_join, suffix_dedup
@@ -209,3 +210,26 @@ def test_components(spark):
         parent[y] = x
     got = {r["node"]: r["component"] for r in collected(components(spark.createDataFrame(pairs, "a long, b long"), "a", "b"))}
     assert got == {k: top(k) for k in parent if any(k in p and p[0] != p[1] for p in pairs)}
+
+
+def test_strings_that_share_no_window_are_left_out_of_the_transform(monkeypatch):
+    draw, width, ahead = random.Random(6), 60, 20
+    core = bytes(draw.choices(range(97, 123), k=40))  # what all windows hold, from 20 bytes before the anchor's place on
+
+    def string(left, right):
+        return bytes(left) + core + bytes(right)
+
+    sides = [bytes(draw.choices(range(97, 123), k=20)) for _ in range(8)]
+    alone = [string(sides[0], sides[1]), string(sides[2][:10] + sides[3][:10], sides[4])]
+    twins = [string(sides[5], sides[6]), string(sides[7][:8] + sides[5][8:], sides[6])]  # 13 windows in common
+    strings = [(7, bytes([k]), ahead, text) for k, text in enumerate(alone + twins)]
+    strings += [(8, b"x", ahead, alone[0][::-1]), (8, b"y", ahead, string(sides[0], sides[0]))]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*strings), (
+        pa.int64(), pa.binary(), pa.int32(), pa.binary()))], ["anchor", "sig", "ahead", "bytes"])
+    met = []
+    monkeypatch.setattr(suffix_dedup, "repeated_starts",
+                        lambda block, size: met.extend(block) or repeated_starts(block, size))
+    found = [tuple(row.values()) for rows in suffix_dedup._found(width, 1 << 20, iter([batch.slice(0, 3), batch.slice(3)]))
+             for row in rows.to_pylist()]
+    assert sorted(met) == sorted(twins)
+    assert sorted(found) == [(7, b"\x02", 8, 21), (7, b"\x03", 8, 21)]
