@@ -58,6 +58,31 @@ def test_suffix_dedup(spark, folder):
     assert rows_of(spark, folder, "op2_suffix_dedup", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
 
 
+def test_suffix_dedup_returns_what_remains(spark, folder):
+    docs = documents(spark, folder)
+    want = Counter((doc, kept.decode("utf-8", "replace")) for (doc, _), (_, _, kept)
+                   in zip(docs, brute_cut([text for _, text in docs], 400)))
+    assert rows_of(spark, folder, "op2_suffix_dedup", "doc_id", "text") == want
+
+
+def test_suffix_dedup_of_planted_passages(spark, tmp_path):
+    """Passages of over 50 words go from the text if they have 400 bytes, and stay below that; clean texts stay."""
+    def words(mark, n):
+        return " ".join(f"{mark}{k:06d}" for k in range(n))
+
+    long, short = words("l", 51), words("s", 51).replace("0000", "")
+    assert len(long) >= 400 > len(short)
+    parted = "é" * 200  # the characters that follow it have their first byte in common
+    rows = [(1, f"{words('a', 60)}<{long}>{words('b', 9)}"), (2, f"{words('c', 30)}[{long}]{words('d', 80)}"),
+            (3, f"{words('e', 60)}<{short}>"), (4, f"{words('f', 60)}[{short}]"), (5, words("g", 200)), (6, None),
+            (7, f"(ü{parted}à"), (8, f"[ö{parted}á")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["text"] for r in collected(QUERIES["op2_suffix_dedup"](spark, str(tmp_path)))}
+    texts = dict(rows)
+    assert got == {**texts, 1: texts[1].replace(long, ""), 2: texts[2].replace(long, ""), 6: "",
+                   7: "(ü\ufffd", 8: "[ö\ufffd"}
+
+
 def test_token_counts(spark, folder):
     library = Tokenizer.from_file(BYTES)
     want = Counter()
